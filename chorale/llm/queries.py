@@ -5,10 +5,11 @@ The queries only read tables, call an operator and derive the columns that are a
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorale.llm import chat, line_dedup, sharding
+from chorale.llm import bpe, chat, line_dedup, packing, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +42,22 @@ FROM keyed LEFT JOIN frequent USING (k) GROUP BY doc_id
 """
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit_packing(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False
+    )
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(_table(spark, sf_dir, "documents"))
 
@@ -87,6 +104,8 @@ FROM t GROUP BY conv_id
 
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op3_packing": op3_packing,
+    "op4_bpe": op4_bpe,
     "op5_sharding": op5_sharding,
     "op8_chat": op8_chat,
 }
