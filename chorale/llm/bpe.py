@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from chorale.llm.common import col, has
-from chorale.llm.kernels import pieces
-from chorale.llm.pretokens import Splitter, WordCache, byte_alphabet, read_file
+from chorale.llm.kernels import CHUNK_BYTES, pieces
+from chorale.llm.pretokens import Tokens, byte_alphabet, read_file
 
 #: Remembered answers of the pair test; a full memory starts afresh.
 PAIRS = 500_000
@@ -185,11 +185,9 @@ class BytePairEncoder:
             i -= spans[i - 1]
         return out[::-1]
 
-    def encode_words(self, words: list[str]) -> list[bytes]:
+    def encode_words(self, words: list[str]) -> list[np.ndarray]:
         specials = self.specials
-        return [
-            np.array([specials[w]] if w in specials else self.encode(w.encode()), "<u4").tobytes() for w in words
-        ]
+        return [np.array([specials[w]] if w in specials else self.encode(w.encode()), np.int32) for w in words]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
@@ -202,9 +200,9 @@ def encoder(path: str) -> BytePairEncoder:
 
 
 @cache
-def _word_cache(path: str) -> WordCache:
+def own_tokens(path: str) -> Tokens:
     own = encoder(path)
-    return WordCache(Splitter(own.specials), own.encode_words)
+    return Tokens(own.specials, own.encode_words)
 
 
 def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -221,15 +219,14 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, decode = _word_cache(vocabulary), encoder(vocabulary).decode
+        tokens, decode = own_tokens(vocabulary), encoder(vocabulary).decode
         for batch in batches:
-            for part in pieces(batch, "text"):
-                found = words.ids([t or "" for t in part.column("text").to_pylist()])
-                flat = np.frombuffer(b"".join(found), "<u4").astype(np.int32)
-                offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in found])]).astype(np.int32)
-                decoded = [decode(flat[i:j].tolist()) for i, j in zip(offsets[:-1], offsets[1:], strict=True)]
+            for part in pieces(batch, "text", 2 * CHUNK_BYTES):
+                ids, at = tokens.ids(tokens.split([t or "" for t in part.column("text").to_pylist()]))
+                decoded = [decode(ids[i:j].tolist()) for i, j in zip(at[:-1], at[1:], strict=True)]
+                offsets = pa.array(at, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.ListArray.from_arrays(offsets, flat), pa.array(decoded, pa.string())],
+                    [part.column("id"), pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32())), pa.array(decoded, pa.string())],
                     ["id", "ids", "decoded"],
                 )
 

@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chorale.llm.common import Scratch, col, has
-from chorale.llm.kernels import pieces
-from chorale.llm.pretokens import library_cache
+from chorale.llm.kernels import CHUNK_BYTES, pieces
+from chorale.llm.pretokens import library_tokens
 
 CAPACITY = 1024
 END_OF_TEXT = 2
@@ -80,6 +80,9 @@ def _numbers(round_: int, group: int) -> Iterator[int]:
         at += 1
 
 
+_END = np.array([END_OF_TEXT], "<u4").tobytes()
+
+
 def _cut(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces: all full but the first, which takes the rest."""
     head = n % capacity or min(n, capacity)
@@ -93,17 +96,19 @@ def tokenize_and_pack(docs: DataFrame, vocabulary: str, capacity: int, open_bins
     schema += ", ids array<int>" if with_ids else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = library_cache(vocabulary), np.array([END_OF_TEXT], "<u4").tobytes()
+        tokens = library_tokens(vocabulary)
         part = TaskContext.get().partitionId()
         packer = BestFit(capacity, open_bins, _numbers(0, part))
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            for chunk in pieces(batch, "text"):
-                ids = [x + end for x in words.ids([t or "" for t in chunk.column("text").to_pylist()])]
+            for chunk in pieces(batch, "text", 2 * CHUNK_BYTES):
+                flat, offsets = tokens.ids(tokens.split([t or "" for t in chunk.column("text").to_pylist()]))
+                ids = flat.astype("<u4").tobytes()
                 row, at, first, length, crc, bin_, place, own = [], [], [], [], [], [], [], []
-                for i, tokens in enumerate(ids):
-                    for k, (start, n) in enumerate(_cut(len(tokens) // 4, capacity)):
-                        body = tokens[4 * start : 4 * (start + n)]
+                for i, (low, high) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+                    own_ids = ids[4 * low : 4 * high] + _END
+                    for k, (start, n) in enumerate(_cut(high - low + 1, capacity)):
+                        body = own_ids[4 * start : 4 * (start + n)]
                         b, p = packer.add(n)
                         row.append(i)
                         at.append(k)

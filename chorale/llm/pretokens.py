@@ -6,16 +6,17 @@ import json
 import os
 from collections.abc import Callable, Iterable
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import regex
 
+from chorale.llm.kernels import mix64
+
 #: Fixed value: the pre-token pattern of the published byte-level BPE vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Pre-tokens that a cache holds at most; a full cache starts afresh. Bounds memory, not results.
-CACHE_WORDS = 300_000
+#: Pre-tokens in each of a cache's two generations. Bounds memory, not results.
+CACHE_WORDS = 400_000
 #: Longer pre-tokens are encoded each time, so that the cache stays small in bytes as well.
 CACHE_CHARS = 64
 
@@ -27,48 +28,170 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
-class Splitter:
-    """Splits texts into special tokens, which stand for themselves, and pre-tokens."""
+_OTHER, _LETTER, _NUMBER, _SPACE = range(4)
 
-    def __init__(self, specials: Iterable[str]):
-        self.specials = sorted(specials, key=len, reverse=True)
-        self.find = regex.compile(PATTERN).findall
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")").split if self.specials else None
-
-    def __call__(self, text: str) -> list[str]:
-        if not any(s in text for s in self.specials):
-            return self.find(text)
-        out: list[str] = []
-        for i, part in enumerate(self.cut(text)):
-            out += [part] if i % 2 else self.find(part)
-        return out
+
+@cache
+def _classes() -> np.ndarray:
+    """The pattern's class of every code point, as the regex library's Unicode tables have it."""
+    out = np.zeros(0x110000, np.uint8)
+    points = np.array([*range(0xD800), *range(0xE000, 0x110000)])
+    text = "".join(map(chr, points))
+    for kind, pattern in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_SPACE, r"\s+")):
+        for m in regex.finditer(pattern, text):
+            out[points[m.start() : m.end()]] = kind
+    return out
+
+
+def _contraction(after: np.ndarray) -> np.ndarray:
+    """Letters of a contraction by the three code points after its apostrophe; 0: none."""
+    one = np.isin(after[:, 0], [ord(c) for c in "stmd"])
+    two = np.zeros(len(after), bool)
+    for pair in ("re", "ve", "ll"):
+        two |= (after[:, 0] == ord(pair[0])) & (after[:, 1] == ord(pair[1]))
+    return np.where(one, 1, np.where(two, 2, 0))
+
+
+def token_starts(points: np.ndarray, borders: np.ndarray) -> np.ndarray:
+    """Where the pattern's matches start in texts that lie one after the other; borders: their starts and the end.
+
+    Matches are runs of one class. A run of white space gives its last character away if
+    a text goes on after it: a space to the next run, another character to a token of its
+    own. A lone apostrophe that starts a token takes the letters of a contraction with it.
+    """
+    n = len(points)
+    kind = _classes()[points]
+    first = np.zeros(n + 1, bool)
+    first[1:n] = kind[1:] != kind[:-1]
+    first[borders] = True
+    edge = first.copy()
+    ends = np.zeros(n + 1, bool)
+    ends[borders] = True
+    space = kind == _SPACE
+    # the last character of white space before more text of the same document
+    tail = np.zeros(n, bool)
+    tail[:-1] = space[:-1] & ~space[1:] & ~ends[1:n]
+    first[:n] |= tail
+    given = np.flatnonzero(tail & (points == 0x20))
+    first[given + 1] = False
+    lone = np.zeros(n, bool)
+    lone[:] = (points == 0x27) & first[:n] & edge[1:]
+    at = np.flatnonzero(lone)
+    if len(at):
+        padded = np.concatenate([points, np.zeros(3, points.dtype)])
+        after = np.stack([padded[at + 1], padded[at + 2]], axis=1)
+        after[:, 0][ends[at + 1]] = 0
+        after[:, 1][ends[np.minimum(at + 2, n)]] = 0
+        letters = _contraction(after)
+        hit, letters = at[letters > 0], letters[letters > 0]
+        first[hit + 1] = False
+        first[hit + 1 + letters] = True
+    return np.flatnonzero(first[:n])
+
+
+class PreTokens:
+    """The pre-tokens of a chunk of texts, each distinct one once.
+
+    ``words`` holds the distinct ones, ``of`` the index into it of every pre-token in order, and
+    ``bounds`` the range of pre-tokens of each text. They are told apart by 64-bit hashes within the chunk.
+    """
+
+    _FACTORS = np.ones(1, np.uint64)
+
+    def __init__(self, texts: list[str], specials: list[str]):
+        parts, owners = texts, None
+        if specials and any(s in t for t in texts for s in specials):
+            cut = regex.compile("(" + "|".join(map(regex.escape, specials)) + ")").split
+            split = [cut(t) for t in texts]
+            parts = [x for own in split for x in own]
+            owners = np.cumsum([0, *(len(own) for own in split)])
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        borders = np.concatenate([[0], np.cumsum(lengths)])
+        text = "".join(parts)
+        points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+        starts = token_starts(points, borders)
+        if owners is not None:
+            whole = [i for own in zip(owners[:-1], owners[1:], strict=True) for i in range(own[0] + 1, own[1], 2)]
+            inside = np.zeros(len(points) + 1, bool)
+            inside[starts] = True
+            for i in whole:
+                inside[borders[i] : borders[i + 1]] = False
+                inside[borders[i]] = True
+            starts = np.flatnonzero(inside[: len(points)])
+        ends = np.append(starts[1:], len(points))
+        self.bounds = np.searchsorted(starts, borders if owners is None else borders[owners])
+        if not len(starts):
+            self.words, self.of = [], np.zeros(0, np.int64)
+            return
+        _, at, self.of = np.unique(self._hash(points, starts, ends), return_index=True, return_inverse=True)
+        self.words = [text[i:j] for i, j in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+
+    @classmethod
+    def _hash(cls, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        lens = ends - starts
+        while len(cls._FACTORS) < lens.max():
+            grown = np.arange(1, 2 * len(cls._FACTORS) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            cls._FACTORS = mix64(grown) | np.uint64(1)
+        inside = np.arange(len(points), dtype=np.int64) - np.repeat(starts, lens)
+        value = mix64(points.astype(np.uint64) + np.uint64(0x632BE59BD9B4E019)) * cls._FACTORS[inside]
+        return mix64(np.add.reduceat(value, starts) + lens.astype(np.uint64))
+
+
+def expand(values: list[np.ndarray], of: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All texts' values one after the other, and the offsets of each text: value k of ``of`` is ``values[of[k]]``."""
+    sizes = np.fromiter(map(len, values), np.int64, len(values))
+    if not len(of):
+        return np.zeros(0, np.int32), np.zeros(len(bounds), np.int64)
+    flat, first = np.concatenate(values), np.cumsum(sizes) - sizes
+    lens = sizes[of]
+    ends = np.cumsum(lens)
+    out = flat[np.arange(int(ends[-1])) - np.repeat(ends - lens, lens) + np.repeat(first[of], lens)]
+    return out, np.concatenate([[0], ends])[bounds]
 
 
 class WordCache:
-    """Encodes texts by their pre-tokens; ``encode`` maps new pre-tokens to little-endian uint32 ids."""
-
-    def __init__(self, split: Splitter, encode: Callable[[list[str]], list[bytes]], limit: int = CACHE_WORDS):
-        self.split, self.encode, self.limit = split, encode, limit
-        self.known: dict[str, bytes] = {}
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian uint32 bytes."""
-        words = [self.split(t) for t in texts]
-        new = set(chain.from_iterable(words)) - self.known.keys()
-        if len(self.known) + len(new) > self.limit:
-            self.known = {}
-            new = set(chain.from_iterable(words))
-        found = self.known
-        if new:
-            ordered = list(new)
-            fresh = dict(zip(ordered, self.encode(ordered), strict=True))
-            long = {w: v for w, v in fresh.items() if len(w) > CACHE_CHARS}
-            for w in long:
-                del fresh[w]
-            self.known.update(fresh)
-            if long:
-                return [b"".join([found[w] if w in found else long[w] for w in own]) for own in words]
-        return [b"".join([found[w] for w in own]) for own in words]
+    """A value for each pre-token; ``make`` gives those of new ones.
+
+    Two generations: a full young one becomes the old one, and words that are met again come
+    back, so frequent words stay and the memory stays bounded.
+    """
+
+    def __init__(self, make: Callable[[list[str]], list]):
+        self.make = make
+        self.young: dict[str, object] = {}
+        self.old: dict[str, object] = {}
+
+    def __call__(self, words: list[str]) -> list:
+        get, get_old = self.young.get, self.old.get
+        out = [get(w) for w in words]
+        again = [i for i, v in enumerate(out) if v is None]
+        new = []
+        for i in again:
+            if (v := get_old(words[i])) is None:
+                new.append(i)
+            else:
+                out[i] = v
+        for i, v in zip(new, self.make([words[i] for i in new]) if new else (), strict=True):
+            out[i] = v
+        if len(self.young) + len(again) > CACHE_WORDS:
+            self.old, self.young = self.young, {}
+        self.young.update((words[i], out[i]) for i in again if len(words[i]) <= CACHE_CHARS)
+        return out
+
+
+class Tokens:
+    """Ids of texts by their pre-tokens; ``encode`` gives the ids of new pre-tokens, special ones included."""
+
+    def __init__(self, specials: Iterable[str], encode: Callable[[list[str]], list[np.ndarray]]):
+        self.specials = sorted(specials, key=len, reverse=True)
+        self.cache = WordCache(encode)
+
+    def split(self, texts: list[str]) -> PreTokens:
+        return PreTokens(texts, self.specials)
+
+    def ids(self, found: PreTokens) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and each text's offsets."""
+        return expand(self.cache(found.words), found.of, found.bounds)
 
 
 def read_file(path: str) -> dict:
@@ -76,12 +199,16 @@ def read_file(path: str) -> dict:
         return json.load(f)
 
 
+#: Pre-tokens that go to the library in one text.
+TOGETHER = 100
+
+
 @cache
-def library_cache(path: str) -> WordCache:
+def library_tokens(path: str) -> Tokens:
     """Ids by the tokenizers library itself; one per worker process.
 
-    New pre-tokens go to the library in one call, kept apart by a special token,
-    which always ends a pre-token; one call per pre-token costs ten times as much.
+    New pre-tokens go to the library many in a text, kept apart by a special token, which
+    always ends a pre-token; a text for each costs several times as much.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
@@ -91,22 +218,15 @@ def library_cache(path: str) -> WordCache:
     tok.no_padding()
     specials = {t.content: i for i, t in tok.get_added_tokens_decoder().items()}
 
-    def each(words: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(words, add_special_tokens=False)]
-
-    def encode(words: list[str]) -> list[bytes]:
+    def encode(words: list[str]) -> list[np.ndarray]:
         if not specials:
-            return each(words)
+            return [np.asarray(e.ids, np.int32) for e in tok.encode_batch_fast(words, add_special_tokens=False)]
         border, mark = next(iter(specials.items()))
         plain = [w for w in words if w not in specials]
-        ids = np.asarray(tok.encode(border.join(plain), add_special_tokens=False).ids, "<u4")
-        at = np.flatnonzero(ids == mark)
-        found = dict(zip(plain, (x.tobytes() for x in _between(ids, at)), strict=True))
-        return [found[w] if w in found else np.array([specials[w]], "<u4").tobytes() for w in words]
-
-    return WordCache(Splitter(specials), encode)
-
+        texts = [border.join(plain[i : i + TOGETHER]) + border for i in range(0, len(plain), TOGETHER)]
+        ids = np.array([x for e in tok.encode_batch_fast(texts, add_special_tokens=False) for x in e.ids], np.int32)
+        ends = np.flatnonzero(ids == mark).tolist()
+        found = iter([ids[i:j] for i, j in zip([0, *(e + 1 for e in ends[:-1])], ends, strict=True)] if ends else [])
+        return [np.array([specials[w]], np.int32) if w in specials else next(found).copy() for w in words]
 
-def _between(ids: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-    starts, ends = [0, *(at + 1).tolist()], [*at.tolist(), len(ids)]
-    return [ids[i:j] for i, j in zip(starts, ends, strict=True)]
+    return Tokens(specials, encode)
