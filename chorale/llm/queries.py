@@ -9,13 +9,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorale.llm import bpe, chat, line_dedup, packing, sharding
+from chorale.llm import bpe, chat, line_dedup, minhash, mtree, packing, quality, sharding, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _quality(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    return quality.quality_rules(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _quality(spark, _table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "chars_per_token", "fallback_share", "token_entropy", "reject_reason",
+    )
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -62,6 +75,34 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(_table(spark, sf_dir, "documents"))
 
 
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+OP6_SQL = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 20
+"""
+
+
+#: The contract's threshold for the query; the pipeline's stage takes the operator's own 80.
+NEAR_PERCENT = 85
+
+
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(_table(spark, sf_dir, "documents"), percent=NEAR_PERCENT)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = spark.range(2).select(
         F.lit(-7).cast("long").alias("conv_id"),
@@ -102,15 +143,27 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM t GROUP BY conv_id
 """
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = toxicity.learn(docs, _table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    out = toxicity.score_texts(docs, lexicon)
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
     "op4_bpe": op4_bpe,
     "op5_sharding": op5_sharding,
+    "op6_top_k": op6_top_k,
+    "op7_minhash": op7_minhash,
     "op8_chat": op8_chat,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL = {
     "op2_line_dedup": OP2_SQL,
+    "op6_top_k": OP6_SQL,
     "op8_chat": OP8_SQL,
 }
