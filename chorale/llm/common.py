@@ -92,3 +92,13 @@ def text_id(text: Column) -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Rows of two longs that are broadcast at most: about 100 MB as a hashed relation.
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(keys: DataFrame) -> DataFrame:
+    """``keys`` (a few fixed-width columns), marked for broadcast if a count proves it small enough;
+    larger ones are left to a shuffled join."""
+    return F.broadcast(keys) if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else keys

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chorale.llm.common import Scratch, col, has, spare, text_id
+from chorale.llm.common import Scratch, broadcast_if_small, col, has, spare, text_id
 from chorale.llm.components import components
 from chorale.llm.kernels import WordHash, chunks, find_words, mix64
 
@@ -271,7 +271,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sided = [known.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}")) for s in "ab"]
     promising = scratch.write(pairs.join(sided[1], "b").join(sided[0], "a").mapInArrow(_promising(percent), "a long, b long"), "pairs")
     wanted = known.join(members.select("rep").distinct(), "rep", "left_semi").select(F.col("rep").alias("id"), F.col("rep_row").alias("row"))
-    texts = scratch.write(source.join(wanted.distinct(), ["id", "row"]).dropDuplicates(["id", "row"]).select("id", "text"), "texts")
+    wanted = broadcast_if_small(scratch.write(wanted.distinct(), "wanted"))
+    texts = scratch.write(source.join(wanted, ["id", "row"]).dropDuplicates(["id", "row"]).select("id", "text"), "texts")
     bodies = [texts.select(F.col("id").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab"]
     links = scratch.write(promising.join(bodies[1], "b").join(bodies[0], "a").mapInArrow(_verified(percent), "a long, b long"), "links")
     found = scratch.write(components(links, scratch, "stars"), "components")
@@ -318,4 +319,4 @@ def keep(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: st
     ident, row = spare(docs, "dropped_doc", "dropped_row")
     out = found.where(~F.col("kept")).select(col(id_col).alias(ident), F.col("text_row").alias(row)).distinct()
     same = col(id_col).cast("long").eqNullSafe(F.col(ident)) & (text_id(F.coalesce(col(text_col), F.lit(""))) == F.col(row))
-    return docs.join(out, same, "left_anti")
+    return docs.join(broadcast_if_small(out), same, "left_anti")

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorale.llm import bpe, chat, line_dedup, minhash, mtree, packing, quality, sharding, toxicity
+from chorale.llm import bpe, chat, line_dedup, minhash, mtree, packing, quality, sharding, substring, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -143,6 +143,33 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM t GROUP BY conv_id
 """
 
+def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.substring_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"), joined=True)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP9_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS win
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)
+), bad AS (
+  SELECT doc_id, i FROM s JOIN (SELECT win, min(doc_id) AS low FROM s GROUP BY win) USING (win) WHERE low < doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, i + k AS i FROM bad, (SELECT unnest(range(0, 13)) AS k)
+), words AS (
+  SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w
+), kept AS (
+  SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE g.i IS NOT NULL) AS r,
+         string_agg(word, ' ' ORDER BY words.i) FILTER (WHERE g.i IS NULL) AS t
+  FROM words LEFT JOIN gone g USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_words, coalesce(r, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     lexicon = toxicity.learn(docs, _table(spark, sf_dir, "labels").select("doc_id", "toxic"))
@@ -159,6 +186,7 @@ QUERIES = {
     "op6_top_k": op6_top_k,
     "op7_minhash": op7_minhash,
     "op8_chat": op8_chat,
+    "op9_substring": op9_substring,
     "op10_toxicity": op10_toxicity,
 }
 
@@ -166,4 +194,5 @@ ORACLE_SQL = {
     "op2_line_dedup": OP2_SQL,
     "op6_top_k": OP6_SQL,
     "op8_chat": OP8_SQL,
+    "op9_substring": OP9_SQL,
 }
