@@ -1,9 +1,71 @@
-"""A training-data pipeline over documents."""
+"""A training-data pipeline over ``documents``, each stage one operator of ``chorale.llm``.
 
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet
+and read again as the next stage's docs. All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chorale.llm import line_dedup, minhash, packing, quality, substring
+from chorale.llm.common import Scratch
+
+#: No SQL for the whole: tokenisers and learnt bands are not SQL. Tests hold each stage against brute force.
 ORACLE_SQL = None
-STAGES: list = []
+
+BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
+
+
+def _with_text(out: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns of documents with ``kept_text`` for the text, and its length."""
+    new = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}
+    return out.select(*(new[c].alias(c) if c in new else c for c in columns))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    verdicts = quality.quality_rules(docs, public_tokenizers.path(BPE), public_tokenizers.path(PIECES))
+    return quality.keep(docs, verdicts)
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that many documents share stay in one of them."""
+    return _with_text(line_dedup.line_dedup(docs), docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates (Jaccard 0.8 over 5-word shingles) the least id stays."""
+    return minhash.keep(docs, minhash.near_duplicates(docs))
+
+
+def drop_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words of passages that a smaller id holds too go."""
+    return _with_text(substring.substring_dedup(docs), docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The texts' tokens as pieces of sequences of at most 1024 tokens."""
+    return packing.best_fit_packing(docs, public_tokenizers.path(BPE), with_ids=False)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", drop_lines),
+    ("minhash_near_dedup", near_dedup),
+    ("substring_dedup", drop_substrings),
+    ("best_fit_packing", pack),
+]
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage over the documents of ``sf_dir``."""
+    scratch = Scratch(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for i, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = scratch.write(docs, name)
     return docs
