@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chorale.llm.common import LOWER, SPACES, UPPER, col, has, spare, text_id
+from chorale.llm.common import LOWER, SPACES, UPPER, Scratch, col, has, spare, text_id
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -66,12 +66,15 @@ def line_dedup(
         .where(F.char_length("key") >= min_chars)
         .select("doc", "row", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key").alias("h2"))
     )
-    frequent = (
+    counted = (
         lines.groupBy("h1", "h2")
         .agg(F.count_distinct("doc").alias("docs"), F.max("doc").alias("keeper"))
         .where(F.col("docs") >= min_docs)
         .select("h1", "h2", "keeper")
     )
+    # Written, so that both sides of the join below are plain shuffles that adaptive execution can
+    # split: the lines of one key may be a third of all rows.
+    frequent = Scratch(docs.sparkSession).write(counted, "frequent")
     drops = (
         lines.join(frequent, ["h1", "h2"])
         .where(~F.col("doc").eqNullSafe(F.col("keeper")))
