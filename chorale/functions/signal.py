@@ -105,10 +105,11 @@ def tumbling(x: Column, n: int, least_tail: int | None = None) -> Column:
 def moving_average(x: Column, n: int) -> Column:
     """Means over ``n`` samples of the zero-padded signal, as long as the signal (an even window looks back one more).
     A signal shorter than the window has ``n`` means."""
-    ahead = (n - 1) - (n >> 1)
 
     def means(v: Column) -> Column:
         size = F.size(v)
+        least = F.least(size, F.lit(n))
+        ahead = least - 1 - F.shiftright(least, 1)
 
         def mean(i: Column) -> Column:
             first = F.greatest(i + ahead - n + 1, F.lit(0))
