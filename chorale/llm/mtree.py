@@ -29,7 +29,7 @@ K = 20
 QUERY_EVERY = 20
 SCALE = 64
 #: Bounds of the pivot set, of the sample it is taken from, of a block and of a page.
-PIVOTS, SAMPLE, BLOCK_ROWS, PAGE, FANOUT = 64, 2048, 2048, 128, 16
+PIVOTS, SAMPLE, BLOCK_ROWS, PAGE, FANOUT = 64, 2048, 4096, 256, 16
 #: Queries that meet a block at once.
 CHUNK = 2048
 #: Components from here on could make an inner product leave a long.
@@ -40,13 +40,14 @@ SLACK = 0.01
 
 @dataclass
 class Page:
-    """An inner page has children; a leaf has rows. ``apart`` are the entries' distances to the page's pivot."""
+    """An inner page has children; a leaf has rows, from ``rows[0]`` to before ``rows[1]`` once its tree is
+    ordered. ``apart`` are the entries' distances to the page's pivot."""
 
     pivots: np.ndarray | None
     radius: np.ndarray | None
     apart: np.ndarray
     children: list[Page] | None
-    rows: np.ndarray | None
+    rows: np.ndarray | tuple[int, int] | None
 
 
 def _distances(points: np.ndarray, pivot: np.ndarray) -> np.ndarray:
@@ -80,20 +81,34 @@ def load(points: np.ndarray, rows: np.ndarray, pivot: np.ndarray) -> Page:
     return Page(centres, radius, _distances(centres, pivot), children, None)
 
 
+def leaves(page: Page) -> Iterator[Page]:
+    if page.rows is not None:
+        yield page
+    for child in page.children or ():
+        yield from leaves(child)
+
+
 class Tree:
-    """The M-tree of one block of integer vectors."""
+    """The M-tree of one block of integer vectors, which are kept in the order of its leaves."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, top: float):
-        self.ids, self.vectors, self.top = ids, vectors, top
+        self.top = top
         exact = vectors.astype(np.float64)
         rest = np.sqrt(np.maximum(top - (exact**2).sum(axis=1), 0.0))
         points = np.hstack([exact, rest[:, None]])
         self.pivot = points[0]
         self.radius = float(_distances(points, self.pivot).max())
         self.root = load(points, np.arange(len(ids)), self.pivot)
+        order, at = [], 0
+        for leaf in leaves(self.root):
+            order.append(leaf.rows)
+            leaf.rows = (at, at + len(leaf.rows))
+            at = leaf.rows[1]
+        order = np.concatenate(order)
+        self.ids, self.vectors, exact = ids[order], vectors[order], exact[order]
         # a sum of products below 2^53 is exact in a double
-        small = len(vectors) and float(np.abs(exact).max()) ** 2 * vectors.shape[1] < 2**52
-        self.exact = exact if small else vectors.astype(np.int64)
+        small = exact.size == 0 or float(np.abs(exact).max()) ** 2 * vectors.shape[1] < 2**52
+        self.exact = exact if small else self.vectors.astype(np.int64)
 
     def search(self, own: int, query: np.ndarray, floor: float, k: int) -> list[tuple[int, int]]:
         """(score, -id) of the k best rows but those of id ``own``, of a score of ``floor`` at least."""
@@ -119,10 +134,12 @@ class Tree:
                 break
             near = np.abs(centre - page.apart)
             if page.rows is not None:
-                rows = page.rows[near <= limit]
-                scores = self.exact[rows] @ q_int
+                start, end = page.rows
+                found = np.flatnonzero(near <= limit)
+                own_rows = self.exact[start:end] if len(found) == end - start else self.exact[start + found]
+                scores = own_rows @ q_int
                 for i in np.flatnonzero(scores >= worst()).tolist():
-                    ident = int(self.ids[rows[i]])
+                    ident = int(self.ids[start + found[i]])
                     entry = (int(scores[i]), -ident)
                     if ident == own or entry[0] < worst():
                         continue
@@ -149,7 +166,7 @@ def components(vector: Column) -> Column:
 
 
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
-    return column.combine_chunks().flatten().to_numpy().reshape(-1, dim).astype(np.int32)
+    return column.combine_chunks().flatten().to_numpy().reshape(len(column), dim).astype(np.int32)
 
 
 def _assign(pivots: dict[int, tuple[np.ndarray, float]]):
@@ -181,9 +198,9 @@ def _build(tops: dict[int, float], every: int, k: int):
         ids = table.column("vec_id").to_numpy()
         tree = Tree(ids, _matrix(table.column("v"), dim), tops[dim])
         rows = []
-        for i in np.flatnonzero(ids % every == 0).tolist():
-            found = tree.search(int(ids[i]), tree.vectors[i], -np.inf, k)
-            rows.append({"id": int(ids[i]), "v": tree.vectors[i].tolist(), "floor": float(min(found)[0]) if len(found) == k else -np.inf})
+        for i in np.flatnonzero(tree.ids % every == 0).tolist():
+            found = tree.search(int(tree.ids[i]), tree.vectors[i], -np.inf, k)
+            rows.append({"id": int(tree.ids[i]), "v": tree.vectors[i].tolist(), "floor": float(min(found)[0]) if len(found) == k else -np.inf})
         return pa.table(
             {
                 "block": pa.array([table.column("block")[0].as_py()], pa.int64()),
