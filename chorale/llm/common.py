@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
 
@@ -41,6 +42,18 @@ def _forget(spark: SparkSession, path: str) -> None:
         pass
 
 
+#: Arrow data that a Python worker gets at once, at most: several copies of a batch live on both sides.
+BATCH_BYTES = 16 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's bound on Arrow batches; rows of long texts fill the default one many times over."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    number, unit = re.fullmatch(r"(\d+)([kmg]?)b?", spark.conf.get(key).strip().lower()).groups()
+    if int(number) << {"": 0, "k": 10, "m": 20, "g": 30}[unit] > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 class Scratch:
     """Written intermediate tables of one query, in a folder of its own under the shared folder.
 
@@ -52,6 +65,7 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = os.path.join(shared_dir(spark), f"chorale-{uuid.uuid4().hex}")
+        small_batches(spark)
         atexit.register(_forget, spark, self.path)
 
     def write(self, frame: DataFrame, name: str) -> DataFrame:

@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chorale.llm.common import Scratch, col, has
+from chorale.llm.common import Scratch, col, has, small_batches
+from chorale.llm.kernels import pieces
 
 #: Labelled rows that the lexicon and the curve are fitted on, at most: those with the smallest
 #: xxhash64 of their id. Scoring covers every text.
@@ -34,6 +35,8 @@ LEAST_SHARE = 0.005
 LEAST_LOG_ODDS = 3.0
 MOST_STEMS = 20_000
 MOST_EXCEPTIONS = 10_000
+#: Bytes of text whose stems are counted at once.
+COUNTED_BYTES = 1 << 20
 THRESHOLD = 0.3
 #: The curve where labels can't give one, and the penalty on its slope where they can.
 DEFAULT_CURVE = (-4.0, 3.0)
@@ -132,9 +135,9 @@ def _counts(kind: str):
     """Per batch, the toxic and clean documents that hold each stem or each phrase around a match."""
 
     def run(batches: Iterator[pa.RecordBatch], matcher: Matcher | None = None) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in (p for batch in batches for p in pieces(batch, "text", COUNTED_BYTES)):
             seen = (Counter(), Counter())
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+            for text, toxic in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist(), strict=True):
                 folded = fold(text or "")
                 own = {s for w in set(folded.split()) for s in stems(w)} if kind == "stems" else phrases(folded, matcher)
                 seen[1 - toxic].update(own)
@@ -242,9 +245,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def strengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = lexicon.matcher()
-        for batch in batches:
-            x = [matcher.strength(fold(t or "")) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), batch.column("toxic").cast(pa.float64())], ["x", "y"])
+        for part in (p for batch in batches for p in pieces(batch, "text")):
+            x = [matcher.strength(fold(t or "")) for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), part.column("toxic").cast(pa.float64())], ["x", "y"])
 
     rows = np.array(sample.select("text", "toxic").mapInArrow(strengths, "x double, y double").collect(), float).reshape(-1, 2)
     return Lexicon(lexicon.weights, lexicon.exceptions, fit_curve(rows[:, 0], rows[:, 1]))
@@ -257,13 +260,14 @@ def score_texts(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_
     Repeated rows score alike, null ids pass through; empty table: empty result; other columns are not carried.
     """
     has(docs, id_col, text_col)
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = lexicon.matcher()
-        for batch in batches:
-            scores = [matcher.score(t.as_py() or "") for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(scores, pa.float64())], ["id", "score"])
+        for part in (p for batch in batches for p in pieces(batch, "text")):
+            scores = [matcher.score(t or "") for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(scores, pa.float64())], ["id", "score"])
 
     out = docs.select(col(id_col).alias("id"), col(text_col).alias("text")).mapInArrow(run, f"id {kind}, score double")
     return out.select(F.col("id").alias(id_col), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
