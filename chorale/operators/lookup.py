@@ -36,3 +36,9 @@ def membership(codes: Column, names: Column, detected: Column, match: str) -> Co
     """Whether the detected name is that of the ``first`` code, or of ``any``; ``names`` maps codes to names."""
     held = F.slice(codes, 1, 1) if match == "first" else codes
     return F.coalesce(F.exists(held, lambda c: F.element_at(names, c) == detected), F.lit(False))
+
+
+def same_species(common: Column, scientific: Column, other_common: Column, other_scientific: Column) -> Column:
+    """Whether both normalised names agree; null counts as no agreement."""
+    same = (normalize_name(common) == normalize_name(other_common)) & (normalize_name(scientific) == normalize_name(other_scientific))
+    return F.coalesce(same, F.lit(False))

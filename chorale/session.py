@@ -29,3 +29,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="chorale-"))
+
+
+def worker_count(cpus: int, available_gb: float, gb_per_worker: float, share: float = 0.8) -> int:
+    """Tasks that fit side by side in a machine's cores and memory; at least one."""
+    return max(1, int(min(cpus * share, available_gb / gb_per_worker)))

@@ -21,6 +21,11 @@ def table(spark: SparkSession, path: str, schema: StructType | None = None) -> D
     return reader.parquet(path)
 
 
+def with_empty(df: DataFrame, name: str, kind: str) -> DataFrame:
+    """``df`` with an empty array column of a type given as DDL, such as ``array<struct<a:int>>``."""
+    return df.withColumn(name, F.array().cast(kind))
+
+
 def limited(df: DataFrame, key: str, n: int | None) -> DataFrame:
     """The first ``n`` rows by key; all without a limit."""
     return df if n is None else df.orderBy(key).limit(n)

@@ -127,6 +127,18 @@ def test_noise_windows(spark):
         noise.enlarge(spark.range(0), "id", 30, 1)
 
 
+def test_small_helpers(spark):
+    from chorale.session import worker_count
+    from chorale.sources.readers import with_empty
+
+    assert (worker_count(10, 64, 2), worker_count(10, 1, 2)) == (8, 1)
+    df = with_empty(spark.range(1), "sources", "array<struct<a:int>>")
+    assert df.first()["sources"] == [] and dict(df.dtypes)["sources"] == "array<struct<a:int>>"
+    names = [F.lit(x) for x in (" Great Tit", "Parus major", "great tit", "PARUS MAJOR ")]
+    assert spark.range(1).select(lookup.same_species(*names)).first()[0] is True
+    assert spark.range(1).select(lookup.same_species(names[0], F.lit(None), *names[2:])).first()[0] is False
+
+
 def test_config(tmp_path):
     path = tmp_path / "c.yaml"
     path.write_text("seed: 7\nbalance:\n  max_per_file: None\n  enabled: true\nmix:\n  mix_levels: [-3, -2]\n")
