@@ -94,6 +94,24 @@ WHERE rank <= 20
 """
 
 
+OP5_SQL = r"""
+WITH t AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+           CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t
+), b AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents
+), c AS (
+  SELECT doc_id, n + 1 AS size, xor(list_reduce(
+           list_transform(range(n), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+           lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS crc FROM b, t
+), p AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id, crc, size ROWS UNBOUNDED PRECEDING)::BIGINT - size AS start, sum(size) OVER ()::BIGINT AS total FROM c
+), s AS (SELECT *, least((2 * start + size) * 16 // (2 * total), 15) AS shard FROM p)
+SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'bytes' AS law, shard::INTEGER AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id, crc, size) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM s
+"""
+
 #: The contract's threshold for the query; the pipeline's stage takes the operator's own 80.
 NEAR_PERCENT = 85
 
@@ -103,6 +121,29 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+OP7_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS sh
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)
+), d AS (
+  SELECT doc_id, count(*) AS n, md5(string_agg(sh, chr(10) ORDER BY sh)) AS k FROM s GROUP BY doc_id
+), c AS (SELECT k, min(doc_id) AS rep, any_value(n) AS n FROM d GROUP BY k
+), r AS (SELECT s.* FROM s JOIN c ON doc_id = rep
+), p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM r x JOIN r y ON x.sh = y.sh AND x.doc_id <> y.doc_id GROUP BY ALL
+), l AS (
+  SELECT a, b FROM p JOIN c x ON a = x.rep JOIN c y ON b = y.rep WHERE 100 * shared >= 85 * (x.n + y.n - shared)
+), reach(node, comp) AS (
+  SELECT rep, rep FROM c UNION SELECT l.b, reach.comp FROM reach JOIN l ON reach.node = l.a
+), low AS (SELECT node, min(comp) AS comp FROM reach GROUP BY node)
+SELECT documents.doc_id, coalesce(d.n, 0)::BIGINT AS n_shingles, coalesce(low.comp, documents.doc_id) AS component_id,
+       coalesce(low.comp, documents.doc_id) = documents.doc_id AS kept
+FROM documents LEFT JOIN d USING (doc_id) LEFT JOIN c USING (k) LEFT JOIN low ON low.node = c.rep
+"""
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = spark.range(2).select(
         F.lit(-7).cast("long").alias("conv_id"),
@@ -192,7 +233,9 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op2_line_dedup": OP2_SQL,
+    "op5_sharding": OP5_SQL,
     "op6_top_k": OP6_SQL,
+    "op7_minhash": OP7_SQL,
     "op8_chat": OP8_SQL,
     "op9_substring": OP9_SQL,
 }
