@@ -14,12 +14,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from chorale.llm.common import col, has
-from chorale.llm.kernels import CHUNK_BYTES, pieces
+from chorale.llm.common import col, has, small_batches
+from chorale.llm.kernels import pieces
 from chorale.llm.pretokens import Tokens, byte_alphabet, read_file
 
 #: Remembered answers of the pair test; a full memory starts afresh.
@@ -185,9 +184,9 @@ class BytePairEncoder:
             i -= spans[i - 1]
         return out[::-1]
 
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
+    def encode_words(self, words: list[str]) -> list[bytes]:
         specials = self.specials
-        return [np.array([specials[w]] if w in specials else self.encode(w.encode()), np.int32) for w in words]
+        return [array("I", [specials[w]] if w in specials else self.encode(w.encode())).tobytes() for w in words]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
@@ -216,12 +215,13 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
     - Other columns of ``docs`` are not carried.
     """
     has(docs, id_col, text_col)
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, decode = own_tokens(vocabulary), encoder(vocabulary).decode
         for batch in batches:
-            for part in pieces(batch, "text", 2 * CHUNK_BYTES):
+            for part in pieces(batch, "text"):
                 ids, at = tokens.ids(tokens.split([t or "" for t in part.column("text").to_pylist()]))
                 decoded = [decode(ids[i:j].tolist()) for i, j in zip(at[:-1], at[1:], strict=True)]
                 offsets = pa.array(at, pa.int32())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import unicodedata
 from collections.abc import Callable, Iterable
 from functools import cache
 
@@ -16,7 +17,7 @@ from chorale.llm.kernels import mix64
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Pre-tokens in each of a cache's two generations. Bounds memory, not results.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 #: Longer pre-tokens are encoded each time, so that the cache stays small in bytes as well.
 CACHE_CHARS = 64
 
@@ -31,9 +32,18 @@ def byte_alphabet() -> dict[str, int]:
 _OTHER, _LETTER, _NUMBER, _SPACE = range(4)
 
 
-@cache
-def _classes() -> np.ndarray:
-    """The pattern's class of every code point, as the regex library's Unicode tables have it."""
+#: The white space of Unicode.
+WHITE_SPACE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+
+
+def _by_category() -> np.ndarray:
+    kinds = {"L": _LETTER, "N": _NUMBER}
+    out = np.fromiter((kinds.get(unicodedata.category(chr(c))[0], _OTHER) for c in range(0x110000)), np.uint8, 0x110000)
+    out[list(WHITE_SPACE)] = _SPACE
+    return out
+
+
+def _by_regex() -> np.ndarray:
     out = np.zeros(0x110000, np.uint8)
     points = np.array([*range(0xD800), *range(0xE000, 0x110000)])
     text = "".join(map(chr, points))
@@ -43,6 +53,30 @@ def _classes() -> np.ndarray:
     return out
 
 
+def _by_library(point: int) -> int:
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    split = ByteLevel(add_prefix_space=False).pre_tokenize_str
+    c = chr(point)
+    spans = [j - i for _, (i, j) in split(f"a{c}1")]
+    if spans[0] == 2:
+        return _LETTER
+    if spans[1] == 2:
+        return _NUMBER
+    return _OTHER if split(f"{c}'s")[0][1] == (0, 2) else _SPACE
+
+
+@cache
+def _classes() -> np.ndarray:
+    """The pattern's class of every code point. Versions of Unicode differ in what is assigned: where two
+    tables do, the library that the ids must equal decides."""
+    out, other = _by_category(), _by_regex()
+    for point in np.flatnonzero(out != other).tolist():
+        if not 0xD800 <= point < 0xE000:
+            out[point] = _by_library(point)
+    return out
+
+
 def _contraction(after: np.ndarray) -> np.ndarray:
     """Letters of a contraction by the three code points after its apostrophe; 0: none."""
     one = np.isin(after[:, 0], [ord(c) for c in "stmd"])
@@ -137,16 +171,17 @@ class PreTokens:
         return mix64(np.add.reduceat(value, starts) + lens.astype(np.uint64))
 
 
-def expand(values: list[np.ndarray], of: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All texts' values one after the other, and the offsets of each text: value k of ``of`` is ``values[of[k]]``."""
-    sizes = np.fromiter(map(len, values), np.int64, len(values))
+def expand(values: list[bytes], of: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All texts' ids one after the other, and the offsets of each text: pre-token k has the ids ``values[of[k]]``,
+    as little-endian uint32 bytes."""
     if not len(of):
         return np.zeros(0, np.int32), np.zeros(len(bounds), np.int64)
-    flat, first = np.concatenate(values), np.cumsum(sizes) - sizes
+    sizes = np.fromiter(map(len, values), np.int64, len(values)) >> 2
+    flat, first = np.frombuffer(b"".join(values), "<u4").astype(np.int32), np.cumsum(sizes) - sizes
     lens = sizes[of]
     ends = np.cumsum(lens)
-    out = flat[np.arange(int(ends[-1])) - np.repeat(ends - lens, lens) + np.repeat(first[of], lens)]
-    return out, np.concatenate([[0], ends])[bounds]
+    at = np.arange(int(ends[-1])) + np.repeat(first[of] - ends + lens, lens)
+    return flat[at], np.concatenate([[0], ends])[bounds]
 
 
 class WordCache:
@@ -180,9 +215,10 @@ class WordCache:
 
 
 class Tokens:
-    """Ids of texts by their pre-tokens; ``encode`` gives the ids of new pre-tokens, special ones included."""
+    """Ids of texts by their pre-tokens; ``encode`` gives the ids of new pre-tokens, special ones included, as
+    little-endian uint32 bytes: a small array for each would take twice the memory."""
 
-    def __init__(self, specials: Iterable[str], encode: Callable[[list[str]], list[np.ndarray]]):
+    def __init__(self, specials: Iterable[str], encode: Callable[[list[str]], list[bytes]]):
         self.specials = sorted(specials, key=len, reverse=True)
         self.cache = WordCache(encode)
 
@@ -218,15 +254,16 @@ def library_tokens(path: str) -> Tokens:
     tok.no_padding()
     specials = {t.content: i for i, t in tok.get_added_tokens_decoder().items()}
 
-    def encode(words: list[str]) -> list[np.ndarray]:
+    def encode(words: list[str]) -> list[bytes]:
         if not specials:
-            return [np.asarray(e.ids, np.int32) for e in tok.encode_batch_fast(words, add_special_tokens=False)]
+            return [np.asarray(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(words, add_special_tokens=False)]
         border, mark = next(iter(specials.items()))
         plain = [w for w in words if w not in specials]
         texts = [border.join(plain[i : i + TOGETHER]) + border for i in range(0, len(plain), TOGETHER)]
-        ids = np.array([x for e in tok.encode_batch_fast(texts, add_special_tokens=False) for x in e.ids], np.int32)
+        ids = np.array([x for e in tok.encode_batch_fast(texts, add_special_tokens=False) for x in e.ids], "<u4")
         ends = np.flatnonzero(ids == mark).tolist()
-        found = iter([ids[i:j] for i, j in zip([0, *(e + 1 for e in ends[:-1])], ends, strict=True)] if ends else [])
-        return [np.array([specials[w]], np.int32) if w in specials else next(found).copy() for w in words]
+        starts = [0, *(e + 1 for e in ends[:-1])]
+        found = iter([ids[i:j].tobytes() for i, j in zip(starts, ends, strict=True)] if ends else [])
+        return [np.array([specials[w]], "<u4").tobytes() if w in specials else next(found) for w in words]
 
     return Tokens(specials, encode)

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chorale.llm.common import col, has, shared_dir
+from chorale.llm.common import col, has, shared_dir, small_batches
 
 N_SHARDS = 16
 LAW = "bytes"
@@ -82,6 +82,7 @@ def shard_by_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     has(docs, id_col, text_col)
     spark = docs.sparkSession
     shared_dir(spark)
+    small_batches(spark)
     body = F.encode(F.coalesce(col(text_col), F.lit("")), "UTF-8")
     sized = docs.select(
         col(id_col).alias("id"), (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("crc")

@@ -32,7 +32,7 @@ from chorale.llm.common import Scratch, col, has
 from chorale.llm.kernels import WordHash, chunks, find_words, mix64
 
 WINDOW = 13
-GROUP_BYTES = 12 << 20
+GROUP_BYTES = 8 << 20
 CELLS = 64
 #: Windows that one task merges, about; bytes of text per window, to size the row before it is built.
 RANGE_WINDOWS = 1 << 20
