@@ -68,4 +68,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = scratch.write(docs, name)
+            if i:
+                scratch.drop(STAGES[i - 1][0])
     return docs
