@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -22,6 +23,11 @@ def duration_s(n: Column, rate: Column) -> Column:
     return F.try_divide(n.cast("double"), rate.cast("double"))
 
 
+def lasts(n: Column, rate: int, seconds: float) -> Column:
+    """Whether ``n`` samples last so long, as a comparison of the column alone, which a scan can take over."""
+    return n >= F.lit(math.ceil(seconds * rate)).cast("bigint")
+
+
 def num_samples(seconds: Column, rate: Column) -> Column:
     return seconds * rate
 

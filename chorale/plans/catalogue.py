@@ -94,8 +94,8 @@ def key_blocklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def duration_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", signal.duration_s(F.col("n_chars"), F.lit(RATE)).alias("duration_s"))
-    return docs.where(F.col("duration_s") >= 100)
+    docs = table(spark, sf_dir, "documents").where(signal.lasts(F.col("n_chars"), RATE, 100))
+    return docs.select("doc_id", signal.duration_s(F.col("n_chars"), F.lit(RATE)).alias("duration_s"))
 
 
 @query
