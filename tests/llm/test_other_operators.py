@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 
-import fixtures
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
