@@ -2,9 +2,9 @@
 
 Tokens are counted where the texts are read; only rows of about 60 bytes a piece leave
 that scan. Each partition packs its pieces as they come with bounded-space online
-best-fit. Bins still open at a partition's end are taken apart and packed again in
-rounds, each over the leftovers of ``FAN_IN`` packers, until one packer is left. A packer
-of any round holds at most ``OPEN_BINS`` open bins, so a round's input is bounded too.
+best-fit. Bins still open at a partition's end are taken apart and packed again, longest
+pieces first, in rounds, each over the leftovers of ``FAN_IN`` packers, until one packer is
+left. A packer hands at most ``OPEN_BINS`` bins on, the emptiest, so a round's input is bounded.
 """
 
 from __future__ import annotations
@@ -21,12 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chorale.llm.common import Scratch, col, has
-from chorale.llm.kernels import CHUNK_BYTES, pieces
+from chorale.llm.kernels import pieces
 from chorale.llm.pretokens import library_tokens
 
 CAPACITY = 1024
 END_OF_TEXT = 2
-OPEN_BINS = 512
+OPEN_BINS = 1024
 FAN_IN = 16
 
 
@@ -69,7 +69,8 @@ class BestFit:
         return own
 
     def open(self) -> list[int]:
-        return [b for same in self.bins.values() for b in same]
+        """The open bins, the emptiest first."""
+        return [b for room in sorted(self.bins, reverse=True) for b in self.bins[room]]
 
 
 def _numbers(round_: int, group: int) -> Iterator[int]:
@@ -101,7 +102,7 @@ def tokenize_and_pack(docs: DataFrame, vocabulary: str, capacity: int, open_bins
         packer = BestFit(capacity, open_bins, _numbers(0, part))
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            for chunk in pieces(batch, "text", 2 * CHUNK_BYTES):
+            for chunk in pieces(batch, "text"):
                 flat, offsets = tokens.ids(tokens.split([t or "" for t in chunk.column("text").to_pylist()]))
                 ids = flat.astype("<u4").tobytes()
                 row, at, first, length, crc, bin_, place, own = [], [], [], [], [], [], [], []
@@ -139,10 +140,11 @@ def tokenize_and_pack(docs: DataFrame, vocabulary: str, capacity: int, open_bins
 def _repack(round_: int, last: bool, capacity: int, open_bins: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         group = int(rows["packer"].iloc[0]) // FAN_IN
-        packer = BestFit(capacity, open_bins, _numbers(round_, group))
+        # no more bins than the round took apart can be open here, so the longest pieces may come first
+        packer = BestFit(capacity, FAN_IN * open_bins, _numbers(round_, group))
         rows = rows.sort_values(["length", "sequence_id", "offset"], ascending=[False, True, True], kind="stable")
         placed = [packer.add(int(n)) for n in rows["length"]]
-        still = set() if last else set(packer.open())
+        still = set() if last else set(packer.open()[:open_bins])
         return rows.assign(
             sequence_id=[b for b, _ in placed], offset=[p for _, p in placed], packer=[group if b in still else -1 for b, _ in placed]
         )
