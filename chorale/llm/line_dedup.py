@@ -43,7 +43,8 @@ def without(text: Column, dropped: Column) -> Column:
 def line_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS
 ) -> DataFrame:
-    """``docs`` with its columns and three more: ``n_lines``, ``n_dropped``, ``kept_text``.
+    """``docs`` with its columns and three more: ``n_lines``, ``n_dropped``, ``kept_text``. Columns of
+    ``docs`` by those names are replaced.
 
     Keys of at least ``min_chars`` code points found in at least ``min_docs``
     documents lose all their lines, except in the largest id that holds the key.
@@ -52,12 +53,9 @@ def line_dedup(
     - Rows that share an id count as one document; each keeps or loses its own lines,
       and in the largest id all of them keep the line.
     - Null ids: their lines are not counted, and go where others make the key frequent.
-    - Empty table: empty result. Other columns pass through; a clash with a new name
-      raises ValueError, internal names avoid clashes by themselves.
+    - Empty table: empty result. Other columns pass through, whatever they are called.
     """
     has(docs, id_col, text_col)
-    if clash := {"n_lines", "n_dropped", "kept_text"} & set(docs.columns):
-        raise ValueError(f"docs already has {sorted(clash)}")
     ident, at_text, positions = spare(docs, "line_doc", "line_text", "line_drops")
     text = F.coalesce(col(text_col), F.lit(""))
     lines = (
@@ -81,11 +79,9 @@ def line_dedup(
         .groupBy(F.col("doc").alias(ident), F.col("row").alias(at_text))
         .agg(F.sort_array(F.collect_set("pos")).alias(positions))
     )
-    left = docs.withColumn(f"{at_text}_", text_id(text))
-    return left.join(
-        drops, left[f"{at_text}_"].eqNullSafe(drops[at_text]) & col(id_col).eqNullSafe(drops[ident]), "left"
-    ).select(
-        *(left[f"`{c}`"] for c in docs.columns),
+    same = text_id(text).eqNullSafe(F.col(at_text)) & col(id_col).eqNullSafe(F.col(ident))
+    return docs.join(drops, same, "left").select(
+        *(col(c) for c in docs.columns if c.lower() not in ("n_lines", "n_dropped", "kept_text")),
         F.size(F.split(text, "\n")).cast("long").alias("n_lines"),
         F.coalesce(F.size(positions), F.lit(0)).cast("long").alias("n_dropped"),
         without(text, F.col(positions)).alias("kept_text"),

@@ -325,9 +325,9 @@ def _empty(fields: StructType) -> pa.Table:
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", joined: bool = False) -> DataFrame:
-    """``docs`` with its columns but the text, and three more: ``n_words``, ``n_removed`` and ``kept_text``, the text
-    without the removed words and the white space after them, or with ``joined`` its kept words joined
-    by one space.
+    """``docs`` with its columns but the text, and three more, which replace columns of those names:
+    ``n_words``, ``n_removed`` and ``kept_text``, the text without the removed words and the white space
+    after them, or with ``joined`` its kept words joined by one space.
 
     A word goes if a window of 13 consecutive words covers it whose words also follow each other in a
     document of a smaller id. Windows are judged on the input, not on what is left.
@@ -335,13 +335,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     - Ids are integers. Texts of a null id lose nothing and make others lose nothing.
     - Null or empty text, or fewer than 13 words: nothing is removed; null gives ''.
     - Rows that share an id are no smaller document for each other. Empty table: empty result.
-    - Other columns pass through; a clash with a new name raises ValueError.
+    - Other columns pass through, whatever they are called.
     """
     has(docs, id_col, text_col)
-    if clash := {"n_words", "n_removed", "kept_text"} & set(docs.columns):
-        raise ValueError(f"docs already has {sorted(clash)}")
     scratch = Scratch(docs.sparkSession)
-    carried = [(f"c{i}", f) for i, f in enumerate(docs.schema.fields) if f.name != text_col]
+    new = ("n_words", "n_removed", "kept_text")
+    carried = [(f"c{i}", f) for i, f in enumerate(docs.schema.fields) if f.name != text_col and f.name.lower() not in new]
     source = docs.select(
         *(col(f.name).alias(c) for c, f in carried),
         col(id_col).cast("long").alias("id"),

@@ -6,6 +6,8 @@ and read again as the next stage's docs. All but the last return the columns of
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +21,13 @@ ORACLE_SQL = None
 BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
-def _with_text(out: DataFrame, columns: list[str]) -> DataFrame:
-    """The columns of documents with ``kept_text`` for the text, and its length."""
+def _rewritten(docs: DataFrame, operator: Callable[..., DataFrame]) -> DataFrame:
+    """The columns of ``docs`` with the operator's ``kept_text`` for the text, and its length. The operator
+    sees numbered columns, so that no column of ``docs`` can clash with its own."""
+    numbered = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    out = operator(docs.toDF(*numbered.values()), id_col=numbered["doc_id"], text_col=numbered["text"])
     new = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}
-    return out.select(*(new[c].alias(c) if c in new else c for c in columns))
+    return out.select(*(new.get(c, F.col(n)).alias(c) for c, n in numbered.items()))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +38,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that many documents share stay in one of them."""
-    return _with_text(line_dedup.line_dedup(docs), docs.columns)
+    return _rewritten(docs, line_dedup.line_dedup)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +48,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of passages that a smaller id holds too go."""
-    return _with_text(substring.substring_dedup(docs), docs.columns)
+    return _rewritten(docs, substring.substring_dedup)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import duckdb
 import fixtures
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 from chorale.llm import queries as llm
@@ -56,6 +57,17 @@ def test_stages(spark, corpus, tmp_path):
         docs = after
 
 
+def test_stages_keep_columns_of_any_name(spark, corpus):
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    for name in ("kept_text", "n_removed", "n_lines", "row", "id", "text_row", "kept", "c0", "a.b"):
+        docs = docs.withColumn(name, F.lit(name))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, corpus)
+        assert out.dtypes == docs.dtypes
+        assert out.where("kept_text <> 'kept_text' or n_lines <> 'n_lines' or `a.b` <> 'a.b'").count() == 0
+        assert out.count() > 0
+
+
 def test_run(spark, corpus):
     assert corpus_pipeline.run(spark, corpus).count() > 0
 

@@ -372,10 +372,20 @@ def test_empty_tables(spark, empty):
     assert toxicity.score_texts(empty, lexicon).collect() == []
 
 
-def test_clashing_names_raise(docs):
-    _, df = docs
-    for call in (lambda d: line_dedup.line_dedup(d), lambda d: substring.substring_dedup(d)):
-        with pytest.raises(ValueError):
-            call(df.withColumn("kept_text", F.lit(1)))
+def test_clashing_names(docs):
+    """Columns called like new or internal ones, in every operator."""
+    rows, plain = docs
+    names = "id row text_row n key h1 h2 pos line line_doc line_text line_drops kept_text n_lines n_words n_removed grp part band class size rejected_doc dropped_row piece packer ids score"
+    df = plain.select("doc_id", "text", "lang", *(F.lit("x").alias(n) for n in names.split()))
+    few = ["doc_id", "n_lines", "n_dropped", "kept_text"]
+    assert fixtures.by_str(line_dedup.line_dedup(df).select(few).collect()) == fixtures.by_str(fixtures.line_dedup(rows))
+    got = substring.substring_dedup(df).select("doc_id", "n_words", "n_removed").collect()
+    assert fixtures.by_str(got) == fixtures.by_str((i, len(w), sum(g)) for i, w, g in fixtures.removed_words(rows))
+    verdicts = quality.quality_rules(df, BPE, PIECES)
+    assert quality.keep(df, verdicts).columns == df.columns
+    found = minhash.near_duplicates(df)
+    assert minhash.keep(df, found).count() == found.where("kept").count()
+    for out in (packing.best_fit_packing(df, BPE, with_ids=False).select("doc_id").distinct(), bpe.encode_decode(df, BPE).select("doc_id").distinct(), sharding.shard_by_bytes(df).select("doc_id").distinct()):
+        assert out.count() == plain.select("doc_id").distinct().count()
     with pytest.raises(ValueError):
         line_dedup.line_dedup(df.drop("text"))
