@@ -19,8 +19,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chorale.llm.common import Scratch, col, has, spare, text_id
-from chorale.llm.kernels import CHUNK_BYTES, WordHash, chunks, find_words
+from chorale.llm.common import Scratch, broadcast_if_small, col, has, spare, text_id
+from chorale.llm.kernels import WordHash, chunks, find_words
 from chorale.llm.pretokens import WordCache, library_tokens
 
 MIN_WORDS = 20
@@ -121,7 +121,7 @@ def _dup_lines(text: str) -> int:
 def measure_texts(column: pa.Array, bpe_path: str, piece_path: str, scripts: list[bool]) -> Iterator[list[pa.Array]]:
     """The columns of MEASURES, for one chunk of texts after the other. scripts: which texts need theirs named."""
     tokens, counts = library_tokens(bpe_path), _piece_counts(piece_path)
-    for i, j, buf, offsets in chunks(column, 2 * CHUNK_BYTES):
+    for i, j, buf, offsets in chunks(column):
         texts = [t or "" for t in column.slice(i, j - i).to_pylist()]
         n_words, n_repeat = repeat_words(buf, offsets)
         points = _per_text((buf & 0xC0) != 0x80, offsets)
@@ -182,11 +182,16 @@ def _bands(measured: DataFrame, prefix: str, *keys: str) -> DataFrame:
     return quartiles.where(F.col(f"{prefix}_n") >= LEAST_DOCUMENTS).select(*keys, f"{prefix}_n", *spread)
 
 
-def _limit(measure: str, side: int) -> Column:
-    """The edge of the band that holds; null (which rejects nothing) without one."""
-    band = F.coalesce(F.col(f"own_{measure}"), F.col(f"all_{measure}"))
+def _band(measure: str) -> Column:
+    """The first band that there is: of the language and size, the language, the size; null without any."""
+    return F.coalesce(*(F.col(f"{of}_{measure}") for of in ("own", "lang", "size")))
+
+
+def _limit(measure: str, widths: float) -> Column:
+    """The edge of the band ``widths`` times its half width from the middle; null rejects nothing."""
+    band = _band(measure)
     least = F.lit(0.01) if measure == "fallback_share" else LEAST_SPREAD * band["mid"]
-    return band["mid"] + side * WIDTH * F.greatest(band["spread"], least)
+    return band["mid"] + widths * WIDTH * F.greatest(band["spread"], least)
 
 
 def quality_rules(
@@ -198,13 +203,15 @@ def quality_rules(
     ``kept`` is false if ``base_failed`` (fewer than 20 words, or over 30 % of them in repeated
     8-word windows), or if a measure leaves its band:
 
-    - chars_per_token: both sides of the band of its language (or script) and size class;
+    - chars_per_token: outside the band of its language (or script) and size class, if the text has
+      less than the band's middle of token_entropy too; outside twice the band in any case (names and
+      mixed languages fragment too, but into many different tokens);
     - token_entropy: under the band; fallback_share: over it;
     - or one of the fixed limits of any language.
 
     Size classes are powers of 4 of the token count; a class of a language that fewer than 50
-    documents make up takes the band of all languages together. Documents that fail the base
-    rules make no band.
+    documents make up takes the language's band over all sizes, and a language of fewer than 50
+    the band of the size class over all languages. Documents that fail the base rules make no band.
 
     - Null or empty text: no words, so base_failed. Null language: the commonest script names the band.
     - Null ids pass through; repeated rows are measured and judged alike. Empty table: empty result.
@@ -218,18 +225,29 @@ def quality_rules(
         scratch.write(measure(source, bpe_path, piece_path), "measures")
         .withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words")))
         .withColumn("band", F.coalesce("lang", F.concat(F.lit("script "), "script")))
-        .withColumn("size", F.floor(F.log2(F.greatest("n_tokens", F.lit(1)).cast("double")) / 2).cast("int"))
+        .withColumn("class", F.floor(F.log2(F.greatest("n_tokens", F.lit(1)).cast("double")) / 2).cast("int"))
     )
     sound = measured.where(~F.col("base_failed"))
-    judged = measured.join(_bands(sound, "own", "band", "size"), ["band", "size"], "left").join(
-        _bands(sound, "all", "size"), ["size"], "left"
+    # a language's rows may be most of the table, so its bands are broadcast where a count allows it;
+    # size classes are 16 at most
+    own, by_lang = (
+        broadcast_if_small(scratch.write(_bands(sound, name, *keys), f"bands-{name}")) for name, keys in (("own", ("band", "class")), ("lang", ("band",)))
+    )
+    judged = (
+        measured.join(own, ["band", "class"], "left")
+        .join(by_lang, "band", "left")
+        .join(F.broadcast(_bands(sound, "size", "class")), "class", "left")
     )
     low, high = CHARS_PER_TOKEN
     long = F.col("n_tokens") >= LONG_TOKENS
+    poor = F.col("token_entropy") < _band("token_entropy")["mid"]
+    cpt = F.col("chars_per_token")
+    few = (cpt < _limit("chars_per_token", -2)) | (poor & (cpt < _limit("chars_per_token", -1)))
+    many = (cpt > _limit("chars_per_token", 2)) | (poor & (cpt > _limit("chars_per_token", 1)))
     reason = (
         F.when(F.col("base_failed"), "base")
-        .when((F.col("chars_per_token") < low) | (F.col("chars_per_token") < _limit("chars_per_token", -1)), "few characters a token")
-        .when((F.col("chars_per_token") > high) | (F.col("chars_per_token") > _limit("chars_per_token", 1)), "many characters a token")
+        .when((cpt < low) | few, "few characters a token")
+        .when((cpt > high) | many, "many characters a token")
         .when((F.col("fallback_share") > MOST_FALLBACK) | (F.col("fallback_share") > _limit("fallback_share", 1)), "byte fallback")
         .when((long & (F.col("token_entropy") < LEAST_ENTROPY)) | (F.col("token_entropy") < _limit("token_entropy", -1)), "low entropy")
     )
@@ -244,4 +262,4 @@ def keep(docs: DataFrame, verdicts: DataFrame, id_col: str = "doc_id", text_col:
     ident, row = spare(docs, "rejected_doc", "rejected_row")
     out = verdicts.where(~F.col("kept")).select(col(id_col).alias(ident), F.col("text_row").alias(row)).distinct()
     same = col(id_col).eqNullSafe(F.col(ident)) & (text_id(F.coalesce(col(text_col), F.lit(""))) == F.col(row))
-    return docs.join(out, same, "left_anti")
+    return docs.join(broadcast_if_small(out), same, "left_anti")
