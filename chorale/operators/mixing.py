@@ -121,40 +121,61 @@ def shifted(x: np.ndarray, bounds: list, rate: int, length: int, ratio: float, s
     return out, [[b[0] + seconds, b[1] + seconds, *b[2:]] for b in bounds], by
 
 
-def mix_signals(signals: list[np.ndarray], levels: list[float], noise: np.ndarray, noise_dbfs: float, mix_dbfs: float) -> dict:
-    """Each signal brought to its level, summed, with noise at its level, and the sum brought to the mixture's level."""
-    length = len(signals[0])
-    norm = [1 / level(x) for x in signals]
-    gains = [n * gain(d) for n, d in zip(norm, levels, strict=True)]
-    clean = np.sum([x * g for x, g in zip(signals, gains, strict=True)], axis=0)
+def place(x: np.ndarray, bounds: list, level_dbfs: float, rate: int, length: int, ratio: float, seed: int) -> dict:
+    """A member brought to its level (by the RMS inside its bounds), moved, and cut or padded to the mixture's length.
+    A silent member stays silent."""
+    rms = level(x, bounds, rate)
+    norm = 1 / rms if rms > 0 else 0.0
+    y, moved, _ = shifted(x * norm * gain(level_dbfs), bounds, rate, length, ratio, seed)
+    y = np.pad(y[:length], (0, max(0, length - len(y))))
+    return {"signal": y, "event_rms": rms, "norm_gain": norm, "gain": norm * gain(level_dbfs), "bounds": moved}
+
+
+def mix_signals(members: list[np.ndarray], noise: np.ndarray, noise_dbfs: float, mix_dbfs: float) -> dict:
+    """The sum of the members, with noise at its level, and that sum brought to the mixture's level. Silence stays silent."""
+    length = len(members[0])
     if len(noise) < length:
         raise ValueError("the noise is shorter than the mixture")
-    noise = noise[:length]
+    clean, noise = np.sum(members, axis=0), noise[:length]
     noise_rms = level(noise)
-    with_noise = clean + noise * gain(noise_dbfs) / noise_rms
-    mix_rms = level(with_noise)
-    mixed = with_noise * gain(mix_dbfs) / mix_rms
+    noise_gain = gain(noise_dbfs) / noise_rms if noise_rms > 0 else 0.0
+    whole = clean + noise * noise_gain
+    mix_rms = level(whole)
+    mix_gain = gain(mix_dbfs) / mix_rms if mix_rms > 0 else 0.0
     return {
-        "mixed": mixed, "clean": clean, "norm_gains": norm, "gains": gains,
-        "noise_rms": noise_rms, "mix_rms": mix_rms, "mix_gain": gain(mix_dbfs) / mix_rms,
+        "mixed": whole * mix_gain, "clean": clean, "noise_rms": noise_rms, "noise_gain": noise_gain,
+        "mix_rms": mix_rms, "mix_gain": mix_gain,
     }
 
 
-def render(members: DataFrame, groups: list[str], length: int) -> DataFrame:
-    """Of member rows (groups, mix_idx, degree, place, key, signal, level_dbfs, noise_dbfs, mix_dbfs, noise): one row per mixture."""
+RENDERED = (
+    "mix_idx int, degree int, mixed array<double>, clean array<double>, noise_dbfs double, noise_rms double, noise_gain double, "
+    "mix_dbfs double, mix_rms double, mix_gain double, event_rms array<double>, norm_gain array<double>, "
+    "relative_dbfs array<double>, gain array<double>, shifted_bounds array<array<array<double>>>"
+)
+
+
+def render(members: DataFrame, groups: list[str], length: int, rate: int, seed: int, ratio: float) -> DataFrame:
+    """Of member rows (groups, mix_idx, degree, place, level_dbfs, noise_dbfs, mix_dbfs, signal, bounds, noise): one row
+    per mixture. bounds: [start s, end s, ...] of a member's calls; without any it is measured whole and never moved."""
     kinds = ", ".join(f"{g} {members.schema[g].dataType.simpleString()}" for g in groups)
-    schema = f"{kinds}, mix_idx int, degree int, mixed array<double>, clean array<double>, gains array<double>, noise_rms double, mix_rms double, mix_gain double"
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("place")
         first = rows.iloc[0]
-        cut = [np.pad(np.asarray(x, float)[:length], (0, max(0, length - len(x)))) for x in rows["signal"]]
-        made = mix_signals(cut, rows["level_dbfs"].tolist(), np.asarray(first["noise"], float), first["noise_dbfs"], first["mix_dbfs"])
-        values = {g: [first[g]] for g in groups} | {"mix_idx": [first["mix_idx"]], "degree": [first["degree"]]}
-        values |= {k: [np.asarray(made[k]).tolist() if isinstance(made[k], np.ndarray) else made[k]] for k in ("mixed", "clean", "gains", "noise_rms", "mix_rms", "mix_gain")}
-        return pd.DataFrame(values)
-
-    return members.groupBy(*groups, "mix_idx").applyInPandas(run, schema)
+        placed = []
+        for r in rows.itertuples():
+            bounds = [[float(v) for v in b] for b in ([] if r.bounds is None else r.bounds)]
+            own = batch_seed(seed, *(first[g] for g in groups), r.mix_idx, r.place)
+            placed.append(place(np.asarray(r.signal, float), bounds, r.level_dbfs, rate, length, ratio, own))
+        made = mix_signals([p["signal"] for p in placed], np.asarray(first["noise"], float), first["noise_dbfs"], first["mix_dbfs"])
+        values = {g: first[g] for g in [*groups, "mix_idx", "degree", "noise_dbfs", "mix_dbfs"]}
+        values |= {k: v.tolist() if isinstance(v, np.ndarray) else v for k, v in made.items()}
+        values |= {k: [p[k] for p in placed] for k in ("event_rms", "norm_gain", "gain")}
+        values |= {"relative_dbfs": rows["level_dbfs"].tolist(), "shifted_bounds": [p["bounds"] for p in placed]}
+        return pd.DataFrame({k: [v] for k, v in values.items()})
+
+    return members.groupBy(*groups, "mix_idx").applyInPandas(run, f"{kinds}, {RENDERED}")
 
 
 def iterate(rows: Iterator, n: int) -> Iterator[list]:

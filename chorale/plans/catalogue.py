@@ -489,4 +489,5 @@ def mix_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     sound = placed.join(vectors, "vec_id").withColumnRenamed("x", "signal").drop("vec_id")
     background = vectors.select(F.col("vec_id").alias("noise_id"), F.col("x").alias("noise"))
     paired = sound.withColumn("noise_id", (F.col("batch_idx") * 30 + F.col("mix_idx")) % n).join(background, "noise_id").drop("noise_id")
-    return mixing.render(paired, ["batch_idx"], 64)
+    bounds = F.array(F.array(F.lit(0.5), F.lit(2.5)))
+    return mixing.render(paired.withColumn("bounds", bounds), ["batch_idx"], 64, RATE, SEED, Mix().max_shift_ratio)

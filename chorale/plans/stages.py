@@ -106,9 +106,10 @@ def segments(
 
 
 def mixtures(segments_: DataFrame, noise_: DataFrame, rate: int, config: Config) -> DataFrame:
-    """split, id, degree, labels, files and the mixed and clean signals. segments: see ``segments``; noise: noise_id,
-    samples, at ``rate``. Noise shorter than a segment is left out."""
+    """split, id, labels, files and what ``mixing.render`` gives. segments: see ``segments``; noise: noise_id,
+    samples, at ``rate``. Segments and noise shorter than a segment's length are left out before they take a place."""
     mix, n = config.mix, int(config.segmentation.segment_length_s * rate)
+    segments_ = segments_.where(F.size("samples") >= n)
     meta = segments_.select("segment_id", "original_file", "birdset_code")
     if config.balance.enabled:
         chosen = sampling.undersample(meta, "segment_id", "birdset_code", config.seed)
@@ -125,20 +126,20 @@ def mixtures(segments_: DataFrame, noise_: DataFrame, rate: int, config: Config)
         parts.append(batched)
     batched = parts[0].unionByName(parts[1]).unionByName(parts[2])
     placed = mixing.assign(batched, "segment_id", "original_file", ["split", "batch_idx"], "position", config.seed, mix)
-    sound = placed.join(segments_.select("segment_id", "original_file", "birdset_code", F.col("samples").alias("signal")), "segment_id")
+    sound = placed.join(segments_.select("segment_id", F.col("samples").alias("signal"), F.col("time_freq_bounds").alias("bounds")), "segment_id")
     paired = sound.withColumn("noise_idx", noise.noise_index(F.col("batch_idx"), F.col("mix_idx"), F.lit(size), rows))
     background = pool.select("noise_idx", "noise_id").join(noise_.select("noise_id", F.col("samples").alias("noise")), "noise_id")
     whole = paired.join(background, "noise_idx")
     keys = ["split", "batch_idx"]
-    made = mixing.render(whole, keys, n)
+    made = mixing.render(whole, keys, n, rate, config.seed, mix.max_shift_ratio)
     lists = (
         placed.join(segments_.select("segment_id", "original_file", "birdset_code"), "segment_id")
         .groupBy(*keys, "mix_idx")
         .agg(F.array_sort(F.collect_list(F.struct("place", "birdset_code", "original_file"))).alias("m"))
     )
     return made.join(lists, [*keys, "mix_idx"]).select(
-        F.concat_ws("-", *keys, "mix_idx").alias("id"), "split", "degree",
+        F.concat_ws("-", *keys, "mix_idx").alias("id"), "split", F.col("degree").alias("polyphony_degree"),
         F.array_sort(F.array_distinct(F.transform("m", lambda r: r["birdset_code"].cast("int")))).alias("birdset_code_multilabel"),
         F.transform("m", lambda r: r["original_file"]).alias("raw_files_original_file"),
-        "mixed", "clean", "gains", "noise_rms", "mix_rms", "mix_gain",
+        *(c for c in made.columns if c not in (*keys, "mix_idx", "degree")),
     )

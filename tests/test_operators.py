@@ -104,11 +104,17 @@ def test_cursor_repeats_nothing_before_the_end():
 
 def test_mix_levels():
     rng = np.random.default_rng(0)
-    made = mixing.mix_signals([rng.normal(size=500), rng.normal(size=500) * 3], [0.0, -6.0], rng.normal(size=600), -12.0, -9.0)
+    x = rng.normal(size=500) * 3
+    a = mixing.place(x, [[0.0, 2.0]], -6.0, 100, 500, 0.0, 1)
+    assert a["event_rms"] == pytest.approx(np.sqrt(np.mean(x[:200] ** 2)))
+    assert mixing.level(a["signal"], [[0.0, 2.0]], 100) == pytest.approx(10 ** (-6 / 20))
+    made = mixing.mix_signals([a["signal"], x], rng.normal(size=600), -12.0, -9.0)
     assert mixing.level(made["mixed"]) == pytest.approx(10 ** (-9 / 20))
-    assert made["gains"][0] == pytest.approx(made["norm_gains"][0])
+    assert np.allclose(made["clean"], a["signal"] + x)
+    silent = mixing.place(np.zeros(50), [], 0.0, 100, 80, 0.2, 1)
+    assert len(silent["signal"]) == 80 and not silent["signal"].any()
     with pytest.raises(ValueError):
-        mixing.mix_signals([np.ones(10)], [0.0], np.ones(5), 0, 0)
+        mixing.mix_signals([np.ones(10)], np.ones(5), 0, 0)
 
 
 def test_a_shift_out_of_the_mixture_is_not_made():

@@ -60,7 +60,7 @@ def test_pipeline(spark):
     assert mixed
     assert len({m["id"] for m in mixed}) == len(mixed)
     for m in mixed:
-        assert len(set(m["raw_files_original_file"])) == m["degree"] == len(m["gains"])
+        assert len(set(m["raw_files_original_file"])) == m["polyphony_degree"] == len(m["gain"]) == len(m["shifted_bounds"])
         assert len(m["mixed"]) == 2 * RATE
 
 
