@@ -9,6 +9,7 @@ import fixtures
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -178,6 +179,15 @@ def test_pretokens_of_every_code_point(library):
         assert at[-1] == len(flat)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("ab1 '\n\tstrevlmd.!é", max_size=30), max_size=4))
+def test_pretokens_are_the_matches_of_the_pattern(texts):
+    found = pretokens.PreTokens(texts, [])
+    for n, text in enumerate(texts):
+        own = found.of[found.bounds[n] : found.bounds[n + 1]]
+        assert [found.words[k] for k in own] == regex.findall(pretokens.PATTERN, text)
+
+
 def test_decoding_of_broken_ids(library):
     own = bpe.encoder(BPE)
     ids = [library_ids(library, "é")[0], 50256, 220]
