@@ -6,6 +6,7 @@ import json
 from functools import partial
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from chorale.config import Config, Mix, Segmentation, Separation
@@ -109,3 +110,16 @@ def test_streams(spark, tmp_path):
     out = streams.sessions(streams.read(spark, f"{tmp_path}/in", schema, 10), "ts", "user_id", "20 minutes")
     out.writeStream.format("memory").queryName("sessions").outputMode("complete").option("checkpointLocation", f"{tmp_path}/c3").trigger(availableNow=True).start().awaitTermination()
     assert spark.table("sessions").agg(F.sum("n")).first()[0] == 100
+
+
+def test_command_line(spark, tmp_path):
+    from chorale import cli
+
+    recordings(spark).write.parquet(f"{tmp_path}/raw")
+    common = ["--rate", str(RATE)]
+    cli.main(["ingest", "--input", f"{tmp_path}/raw", "--output", f"{tmp_path}/in", *common])
+    assert json.loads((tmp_path / "in.manifest.json").read_text())["num_rows"] == 40
+    cli.main(["separate", "--input", f"{tmp_path}/in", "--output", f"{tmp_path}/apart", "--model", "chorale.operators.models:BandSplitter", *common])
+    assert spark.read.parquet(f"{tmp_path}/apart").count() == 160
+    with pytest.raises(SystemExit):
+        cli.main(["mix", "--input", "x", "--output", "y"])
