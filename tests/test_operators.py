@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from chorale import config, schemas
 from chorale.config import Mix
-from chorale.operators import detections, lookup, mixing, noise, sampling
+from chorale.operators import detections, events, lookup, mixing, noise, sampling
 from chorale.operators.ranking import ranked
 
 
@@ -133,6 +133,28 @@ def test_noise_windows(spark):
         noise.enlarge(spark.range(0), "id", 30, 1)
 
 
+@pytest.mark.parametrize("partitions", [1, 4, 13])
+def test_gaps_across_partitions(spark, partitions):
+    """One key holds most events; runs of it lie in many partitions."""
+    rows = [(0 if i % 5 else i % 3, i, i * 100 + (i // 7) * 250) for i in range(300)]
+    df = spark.createDataFrame(rows, "k int, id int, s int").selectExpr(
+        "k", "id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, s) as ts", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, s + 90) as te"
+    )
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    got = events.merge_gaps(df, ["k"], "ts", "te", 200, 0, ["id"]).groupBy("k").agg(F.count("n"), F.sum("n"), F.max("n")).collect()
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    want = {}
+    for k in {r[0] for r in rows}:
+        sizes, last = [], None
+        for _, _, s in sorted(r for r in rows if r[0] == k):
+            if last is None or s - last > 200:
+                sizes.append(0)
+            sizes[-1] += 1
+            last = s + 90
+        want[k] = (len(sizes), sum(sizes), max(sizes))
+    assert {r[0]: tuple(r[1:]) for r in got} == want
+
+
 def test_small_helpers(spark):
     from chorale.session import worker_count
     from chorale.sources.readers import with_empty
