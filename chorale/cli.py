@@ -53,7 +53,7 @@ def main(args: list[str] | None = None) -> None:
         recordings, species = (readers.table(spark, p) for p in (own.recordings, own.species))
         sinks.replace(stages.segments(recordings, df, species, own.rate, config), own.output)
     elif own.stage == "mix":
-        out = stages.mixtures(df, readers.table(spark, own.noise), own.rate, config)
+        out = stages.encoded(stages.mixtures(df, readers.table(spark, own.noise), own.rate, config), own.rate)
         sinks.replace(out, own.output, split="split")
     else:
         sinks.publish(df, own.output, config.subset, config.balance.enabled)

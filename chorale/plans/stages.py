@@ -9,13 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chorale.config import Config
-from chorale.functions import dsp, intervals, names, signal
+from chorale.functions import codec, dsp, intervals, names, signal
 from chorale.operators import detections, mixing, models, noise, sampling
-from chorale.schemas import require
+from chorale.schemas import MIXTURES, require
 
 
 def noise_and_test(soundscapes: DataFrame, config: Config) -> tuple[DataFrame, DataFrame]:
@@ -132,6 +132,8 @@ def mixtures(segments_: DataFrame, noise_: DataFrame, rate: int, config: Config)
     whole = paired.join(background, "noise_idx")
     keys = ["split", "batch_idx"]
     made = mixing.render(whole, keys, n, rate, config.seed, mix.max_shift_ratio)
+    made = made.withColumn("noise_idx", noise.noise_index(F.col("batch_idx"), F.col("mix_idx"), F.lit(size), rows))
+    made = made.join(pool.select("noise_idx", F.col("noise_id").alias("noise_file")), "noise_idx").drop("noise_idx")
     lists = (
         placed.join(segments_.select("segment_id", "original_file", "birdset_code"), "segment_id")
         .groupBy(*keys, "mix_idx")
@@ -143,3 +145,27 @@ def mixtures(segments_: DataFrame, noise_: DataFrame, rate: int, config: Config)
         F.transform("m", lambda r: r["original_file"]).alias("raw_files_original_file"),
         *(c for c in made.columns if c not in (*keys, "mix_idx", "degree")),
     )
+
+
+def encoded(mixed: DataFrame, rate: int, container: str = "WAV") -> DataFrame:
+    """Mixtures with encoded audio, in the columns and types of ``schemas.MIXTURES``, and their split."""
+
+    @F.pandas_udf("binary")
+    def encode(signals: pd.Series) -> pd.Series:
+        return signals.map(lambda x: codec.encode(x, rate, container))
+
+    def audio(column: str, suffix: str) -> Column:
+        path = F.concat("id", F.lit(f"{suffix}.{container.lower()}"))
+        return F.struct(encode(column).alias("bytes"), path.alias("path"))
+
+    unit = F.when(F.col("noise_rms") > 0, 1 / F.col("noise_rms"))
+    columns = {
+        "id": F.col("id"), "audio": audio("mixed", ""), "no_noise_audio": audio("clean", "-no-noise"),
+        "polyphony_degree": F.col("polyphony_degree"), "birdset_code_multilabel": F.col("birdset_code_multilabel"),
+        "noise_file": F.col("noise_file"), "noise_orig_rms": F.col("noise_rms"), "noise_dBFS": F.col("noise_dbfs"),
+        "noise_norm_gain": unit, "noise_gain": F.col("noise_gain"), "mix_orig_rms": F.col("mix_rms"),
+        "mix_dBFS": F.col("mix_dbfs"), "mix_gain": F.col("mix_gain"), "raw_files_event_rms": F.col("event_rms"),
+        "raw_files_norm_gain": F.col("norm_gain"), "raw_files_relative_dBFS": F.col("relative_dbfs"),
+        "raw_files_gain": F.col("gain"), "shifted_time_freq_bounds": F.col("shifted_bounds"),
+    }
+    return mixed.select(*(columns[f.name].cast(f.dataType).alias(f.name) for f in MIXTURES.fields), "split")

@@ -13,6 +13,7 @@ from chorale.config import Config, Mix, Segmentation, Separation
 from chorale.functions import codec, dsp
 from chorale.operators import models
 from chorale.plans import stages
+from chorale.schemas import MIXTURES
 from chorale.sources import readers, sinks
 from chorale.streaming import events as streams
 
@@ -57,12 +58,18 @@ def test_pipeline(spark):
     assert all(0 <= b[0] <= b[1] <= 2.0 for r in rows for b in r["time_freq_bounds"])
     assert len({r["segment_id"] for r in rows}) == len(rows)
     noise = spark.createDataFrame([(f"n{i}", np.random.default_rng(i).normal(size=2 * RATE + i).tolist()) for i in range(9)], "noise_id string, samples array<double>")
-    mixed = stages.mixtures(found, noise, RATE, CONFIG).collect()
+    made = stages.mixtures(found, noise, RATE, CONFIG).cache()
+    mixed = made.collect()
     assert mixed
     assert len({m["id"] for m in mixed}) == len(mixed)
     for m in mixed:
         assert len(set(m["raw_files_original_file"])) == m["polyphony_degree"] == len(m["gain"]) == len(m["shifted_bounds"])
         assert len(m["mixed"]) == 2 * RATE
+    out = stages.encoded(made, RATE)
+    assert [(f.name, f.dataType) for f in out.schema.fields[:-1]] == [(f.name, f.dataType) for f in MIXTURES.fields]
+    row = out.first()
+    samples, rate = codec.decode_wav(row["audio"]["bytes"])
+    assert (len(samples), rate, row["audio"]["path"]) == (2 * RATE, RATE, f"{row['id']}.wav")
 
 
 def test_noise_and_test(spark):
