@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import json
-import os
 import unicodedata
+from array import array
 from collections.abc import Callable, Iterable
 from functools import cache
 
@@ -235,35 +235,23 @@ def read_file(path: str) -> dict:
         return json.load(f)
 
 
-#: Pre-tokens that go to the library in one text.
-TOGETHER = 100
-
-
 @cache
 def library_tokens(path: str) -> Tokens:
     """Ids by the tokenizers library itself; one per worker process.
 
-    New pre-tokens go to the library many in a text, kept apart by a special token, which
-    always ends a pre-token; a text for each costs several times as much.
+    New pre-tokens go to its model in the byte alphabet, one by one: its whole pipeline would
+    split them again, and costs nearly twice as much.
     """
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
-    tok.no_truncation()
-    tok.no_padding()
     specials = {t.content: i for i, t in tok.get_added_tokens_decoder().items()}
+    alphabet, tokenize = {b: c for c, b in byte_alphabet().items()}, tok.model.tokenize
 
     def encode(words: list[str]) -> list[bytes]:
-        if not specials:
-            return [np.asarray(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(words, add_special_tokens=False)]
-        border, mark = next(iter(specials.items()))
-        plain = [w for w in words if w not in specials]
-        texts = [border.join(plain[i : i + TOGETHER]) + border for i in range(0, len(plain), TOGETHER)]
-        ids = np.array([x for e in tok.encode_batch_fast(texts, add_special_tokens=False) for x in e.ids], "<u4")
-        ends = np.flatnonzero(ids == mark).tolist()
-        starts = [0, *(e + 1 for e in ends[:-1])]
-        found = iter([ids[i:j].tobytes() for i, j in zip(starts, ends, strict=True)] if ends else [])
-        return [np.array([specials[w]], "<u4").tobytes() if w in specials else next(found) for w in words]
+        return [
+            array("I", [specials[w]] if w in specials else [t.id for t in tokenize(w.encode().decode("latin-1").translate(alphabet))]).tobytes()
+            for w in words
+        ]
 
     return Tokens(specials, encode)
