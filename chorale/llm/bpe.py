@@ -18,9 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from chorale.llm.common import col, has, small_batches
-from chorale.llm.kernels import pieces
+from chorale.llm.kernels import CACHES, pieces
 from chorale.llm.pretokens import Tokens, byte_alphabet, read_file
 
+#: Pre-tokens in each generation of the cache; new ones cost more here than in the library.
+CACHED = 250_000
 #: Remembered answers of the pair test; a full memory starts afresh.
 PAIRS = 500_000
 NEVER = 1 << 62
@@ -201,7 +203,10 @@ def encoder(path: str) -> BytePairEncoder:
 @cache
 def own_tokens(path: str) -> Tokens:
     own = encoder(path)
-    return Tokens(own.specials, own.encode_words)
+    return Tokens(own.specials, own.encode_words, CACHED)
+
+
+CACHES.append(own_tokens.cache_clear)
 
 
 def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

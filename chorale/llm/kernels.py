@@ -6,7 +6,8 @@ processed by a handful of numpy passes and never word by word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -148,3 +149,22 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
     at = batch.schema.get_field_index(column)
     for i, j, _, _ in chunks(batch.column(at), limit):
         yield batch.slice(i, j - i)
+
+
+#: What empties the caches that an operator keeps in a worker process.
+CACHES: list[Callable[[], None]] = []
+
+
+def trim() -> None:
+    """Gives freed blocks back that Arrow and the C library hold on to."""
+    pa.default_memory_pool().release_unused()
+    give = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give:
+        give(0)
+
+
+def release() -> None:
+    """Empties the caches that another operator's tasks have left in this worker process, and trims."""
+    for clear in CACHES:
+        clear()
+    trim()

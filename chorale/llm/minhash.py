@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from chorale.llm.common import Scratch, broadcast_if_small, col, has, spare, text_id
 from chorale.llm.components import components
-from chorale.llm.kernels import WordHash, chunks, find_words, mix64
+from chorale.llm.kernels import WordHash, chunks, find_words, mix64, release
 
 SHINGLE_WORDS = 5
 REGISTERS = 128
@@ -117,6 +117,7 @@ def sketch(docs: DataFrame) -> DataFrame:
     """Of rows (id, row, text): id, row, n_shingles, set keys k1 and k2, sketch and bands (null for empty sets)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for i, j, buf, offsets in chunks(batch.column("text")):
                 values, bounds = shingle_sets(buf, offsets)
@@ -181,6 +182,7 @@ def similar(left: pa.Array, right: pa.Array, percent: int) -> np.ndarray:
 
 def _verified(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             if batch.num_rows:
                 good = similar(batch.column("text_a"), batch.column("text_b"), percent)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chorale.llm.common import Scratch, col, has
-from chorale.llm.kernels import CHUNK_BYTES, pieces
+from chorale.llm.kernels import pieces, trim
 from chorale.llm.pretokens import library_tokens
 
 CAPACITY = 1024
@@ -102,7 +102,7 @@ def tokenize_and_pack(docs: DataFrame, vocabulary: str, capacity: int, open_bins
         packer = BestFit(capacity, open_bins, _numbers(0, part))
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            for chunk in pieces(batch, "text", 2 * CHUNK_BYTES):
+            for chunk in pieces(batch, "text"):
                 flat, offsets = tokens.ids(tokens.split([t or "" for t in chunk.column("text").to_pylist()]))
                 ids = flat.astype("<u4").tobytes()
                 row, at, first, length, crc, bin_, place, own = [], [], [], [], [], [], [], []
@@ -133,6 +133,7 @@ def tokenize_and_pack(docs: DataFrame, vocabulary: str, capacity: int, open_bins
             where = pa.compute.if_else(is_open, pa.scalar(part, pa.int64()), pa.scalar(-1, pa.int64()))
             columns = [*rows.columns[:7], where, *rows.columns[7:]]
             yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in schema.split(", ")])
+        trim()
 
     return docs.mapInArrow(run, schema)
 

@@ -11,13 +11,13 @@ from functools import cache
 import numpy as np
 import regex
 
-from chorale.llm.kernels import mix64
+from chorale.llm.kernels import CACHES, mix64
 
 #: Fixed value: the pre-token pattern of the published byte-level BPE vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Pre-tokens in each of a cache's two generations. Bounds memory, not results.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 120_000
 #: Longer pre-tokens are encoded each time, so that the cache stays small in bytes as well.
 CACHE_CHARS = 64
 
@@ -191,8 +191,8 @@ class WordCache:
     back, so frequent words stay and the memory stays bounded.
     """
 
-    def __init__(self, make: Callable[[list[str]], list]):
-        self.make = make
+    def __init__(self, make: Callable[[list[str]], list], limit: int = CACHE_WORDS):
+        self.make, self.limit = make, limit
         self.young: dict[str, object] = {}
         self.old: dict[str, object] = {}
 
@@ -208,7 +208,7 @@ class WordCache:
                 out[i] = v
         for i, v in zip(new, self.make([words[i] for i in new]) if new else (), strict=True):
             out[i] = v
-        if len(self.young) + len(again) > CACHE_WORDS:
+        if len(self.young) + len(again) > self.limit:
             self.old, self.young = self.young, {}
         self.young.update((words[i], out[i]) for i in again if len(words[i]) <= CACHE_CHARS)
         return out
@@ -218,9 +218,9 @@ class Tokens:
     """Ids of texts by their pre-tokens; ``encode`` gives the ids of new pre-tokens, special ones included, as
     little-endian uint32 bytes: a small array for each would take twice the memory."""
 
-    def __init__(self, specials: Iterable[str], encode: Callable[[list[str]], list[bytes]]):
+    def __init__(self, specials: Iterable[str], encode: Callable[[list[str]], list[bytes]], limit: int = CACHE_WORDS):
         self.specials = sorted(specials, key=len, reverse=True)
-        self.cache = WordCache(encode)
+        self.cache = WordCache(encode, limit)
 
     def split(self, texts: list[str]) -> PreTokens:
         return PreTokens(texts, self.specials)
@@ -255,3 +255,6 @@ def library_tokens(path: str) -> Tokens:
         ]
 
     return Tokens(specials, encode)
+
+
+CACHES.append(library_tokens.cache_clear)

@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from chorale.llm.common import Scratch, col, has
-from chorale.llm.kernels import WordHash, chunks, find_words, mix64
+from chorale.llm.kernels import WordHash, chunks, find_words, mix64, release
 
 WINDOW = 13
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 6 << 20
 CELLS = 64
 #: Windows that one task merges, about; bytes of text per window, to size the row before it is built.
 RANGE_WINDOWS = 1 << 20
@@ -75,6 +75,7 @@ def ranges(total_bytes: int) -> tuple[int, int]:
 
 def make_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of rows as one row each: number, ids, offsets and compressed text, and the other columns as Arrow data."""
+    release()
     at = TaskContext.get().partitionId() << 32
     held: list[tuple[pa.RecordBatch, bytes, np.ndarray]] = []
     size = 0
@@ -179,6 +180,7 @@ def sketch(cell_bits: int, range_bits: int):
     inside = cell_bits - range_bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for row in _groups_of(batch):
                 cells, twice = _cells(Group(row), cell_bits)
