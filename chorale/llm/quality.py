@@ -2,7 +2,7 @@
 
 Public vocabularies measure each text: code points per token and token entropy by a
 byte-level BPE, the share of byte-fallback pieces by a sentencepiece BPE. The rejection
-bands come from all documents: per language (or script, where the language is null)
+bands come from all documents: per language (or script, where the language is null or too few documents have it)
 and size of text, the quartiles of each measure give a median and a robust spread, and a
 text is rejected where a measure leaves ``WIDTH`` spreads. Quartiles are mergeable
 sketches of one row per band key; nothing else leaves the texts' own partitions.
@@ -31,20 +31,27 @@ SYMBOLS = "#*$%&|<>"
 #: share of the median: so that many copies of one text can't shrink a band onto themselves.
 WIDTH = 4.5
 LEAST_SPREAD = 0.03
-#: A band holds only where so many documents made it; elsewhere the band of all languages does.
+#: A band holds only where so many documents made it; elsewhere the band of the script does.
 LEAST_DOCUMENTS = 50
 #: Of the quartiles: their error in ranks is one in so many. With edges rounded to 0.001 the order in which
 #: sketches merge does not show.
 ACCURACY = 100_000
-#: Fixed limits that hold in any language: code points per token, entropy in bits from
-#: ``LONG_TOKENS`` tokens on, share of byte-fallback pieces.
+#: Fixed limits of texts that no band judges: code points per token, share of byte-fallback pieces. The lower one and
+#: the share hold in ``COVERED`` scripts only: in others the vocabularies take clean text to about a token a byte.
 CHARS_PER_TOKEN = (1.0, 12.0)
-LEAST_ENTROPY = 3.0
 MOST_FALLBACK = 0.5
+COVERED = ("Latin", "none")
+#: Holds in any language: entropy in bits from ``LONG_TOKENS`` tokens on.
+LEAST_ENTROPY = 3.0
 LONG_TOKENS = 256
-SCRIPTS = ("Latin", "Cyrillic", "Greek", "Arabic", "Hebrew", "Devanagari", "Han", "Hiragana", "Katakana", "Hangul", "Thai")
+#: In the order in which ties are broken; 'Other' is any other letter.
+SCRIPTS = (
+    "Arabic", "Armenian", "Bengali", "Cyrillic", "Devanagari", "Ethiopic", "Georgian", "Greek", "Gujarati", "Gurmukhi", "Han", "Hangul",
+    "Hebrew", "Hiragana", "Kannada", "Katakana", "Khmer", "Lao", "Latin", "Malayalam", "Myanmar", "Other", "Sinhala", "Tamil", "Telugu",
+    "Thai", "Tibetan",
+)
 
-_FIND_SCRIPT = regex.compile("|".join(rf"(?P<{s}>\p{{Script={s}}})" for s in SCRIPTS))
+_FIND_SCRIPT = regex.compile("|".join(rf"(?P<{s}>\p{{Script={s}}})" for s in SCRIPTS if s != "Other") + r"|(?P<Other>\p{L})")
 
 MEASURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_tokens long, "
@@ -52,12 +59,33 @@ MEASURES = (
 )
 
 
-def script_of(text: str) -> str:
-    """The commonest script among the letters; 'none' without a letter of the listed scripts."""
-    counts: dict[str, int] = {}
-    for m in _FIND_SCRIPT.finditer(text):
-        counts[m.lastgroup] = counts.get(m.lastgroup, 0) + 1
-    return max(sorted(counts), key=counts.get) if counts else "none"
+@cache
+def _script_table() -> np.ndarray:
+    """The place in SCRIPTS of each code point's script, len(SCRIPTS) for none."""
+    table = np.full(0x110000, len(SCRIPTS), np.uint8)
+    points = "".join(map(chr, (c for c in range(0x40000) if not 0xD800 <= c < 0xE000)))
+    for m in _FIND_SCRIPT.finditer(points):
+        table[ord(m[0])] = SCRIPTS.index(m.lastgroup)
+    return table
+
+
+def scripts_of(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The commonest script among each text's letters; 'none' without a letter. Texts are UTF-8."""
+    counts = np.zeros((len(offsets) - 1, len(SCRIPTS) + 1), np.int64)
+    counts[:, SCRIPTS.index("Latin")] = _per_text(_ASCII_LETTER[buf], offsets)
+    at = np.flatnonzero(buf >= 0xC0)
+    if len(at):
+        lead = buf[at].astype(np.int32)
+        n = 1 + (lead >= 0xE0) + (lead >= 0xF0)
+        point = lead & (0x3F >> n)
+        for i in range(1, 4):
+            more = buf[np.minimum(at + i, len(buf) - 1)] & 0x3F
+            point = np.where(i <= n, (point << 6) | more, point)
+        text = np.searchsorted(offsets, at, "right") - 1
+        key = text * counts.shape[1] + _script_table()[point]
+        counts += np.bincount(key, minlength=counts.size).reshape(counts.shape)
+    named = counts[:, :-1]
+    return np.where(named.any(axis=1), np.array(SCRIPTS)[named.argmax(axis=1)], "none")
 
 
 class PieceCounts:
@@ -91,6 +119,8 @@ def _per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
+_ASCII_LETTER = np.zeros(256, bool)
+_ASCII_LETTER[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS.encode())] = True
 _HASH = WordHash(0x5EED)
@@ -124,8 +154,8 @@ def _dup_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
-def measure_texts(column: pa.Array, bpe_path: str, piece_path: str, scripts: list[bool]) -> Iterator[list[pa.Array]]:
-    """The columns of MEASURES, for one chunk of texts after the other. scripts: which texts need theirs named."""
+def measure_texts(column: pa.Array, bpe_path: str, piece_path: str) -> Iterator[list[pa.Array]]:
+    """The columns of MEASURES, for one chunk of texts after the other."""
     tokens, counts = library_tokens(bpe_path), _piece_counts(piece_path)
     for i, j, buf, offsets in chunks(column, CHUNK_BYTES // 2):
         texts = [t or "" for t in column.slice(i, j - i).to_pylist()]
@@ -148,7 +178,7 @@ def measure_texts(column: pa.Array, bpe_path: str, piece_path: str, scripts: lis
                 points / some, (pieces >> 32) / np.maximum(pieces & 0xFFFFFFFF, 1),
                 np.maximum(np.log2(some) - plogp / some, 0.0),
             )
-        ] + [pa.array([script_of(t) if need else None for t, need in zip(texts, scripts[i:j], strict=True)], pa.string())]
+        ] + [pa.array(scripts_of(buf, offsets).tolist(), pa.string())]
 
 
 def measure(docs: DataFrame, bpe_path: str, piece_path: str) -> DataFrame:
@@ -158,9 +188,8 @@ def measure(docs: DataFrame, bpe_path: str, piece_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            need = [x is None for x in batch.column("lang").to_pylist()]
             at = 0
-            for own in measure_texts(batch.column("text"), bpe_path, piece_path, need):
+            for own in measure_texts(batch.column("text"), bpe_path, piece_path):
                 part = batch.slice(at, len(own[0]))
                 at += len(own[0])
                 yield pa.RecordBatch.from_arrays(
@@ -190,8 +219,8 @@ def _bands(measured: DataFrame, prefix: str, *keys: str) -> DataFrame:
 
 
 def _band(measure: str) -> Column:
-    """The first band that there is: of the language and size, the language, the size; null without any."""
-    return F.coalesce(*(F.col(f"{of}_{measure}") for of in ("own", "lang", "size")))
+    """The first band that there is: of the language and size, the language, the script and size; null without any."""
+    return F.coalesce(*(F.col(f"{of}_{measure}") for of in ("own", "lang", "script")))
 
 
 def _limit(measure: str, widths: float) -> Column:
@@ -213,12 +242,14 @@ def quality_rules(
     - chars_per_token: outside the band of its language (or script) and size class, if the text has
       less than the band's middle of token_entropy too; outside twice the band in any case (names and
       mixed languages fragment too, but into many different tokens);
-    - token_entropy: under the band; fallback_share: over it;
-    - or one of the fixed limits of any language.
+    - token_entropy: under the band, or in a long text under the fixed limit of any language;
+    - fallback_share: over the band.
 
     Size classes are powers of 4 of the token count; a class of a language that fewer than 50
     documents make up takes the language's band over all sizes, and a language of fewer than 50
-    the band of the size class over all languages. Documents that fail the base rules make no band.
+    the band of the size class over all documents of the script. Where these are fewer than 50 too,
+    fixed limits of chars_per_token and fallback_share hold, which the script sets. Documents that
+    fail the base rules make no band.
 
     - Null or empty text: no words, so base_failed. Null language: the commonest script names the band.
     - Null ids pass through; repeated rows are measured and judged alike. Empty table: empty result.
@@ -236,16 +267,17 @@ def quality_rules(
     )
     sound = measured.where(~F.col("base_failed"))
     # a language's rows may be most of the table, so its bands are broadcast where a count allows it;
-    # size classes are 16 at most
+    # scripts are 28 and size classes 16 at most
     own, by_lang = (
         broadcast_if_small(scratch.write(_bands(sound, name, *keys), f"bands-{name}")) for name, keys in (("own", ("band", "class")), ("lang", ("band",)))
     )
     judged = (
         measured.join(own, ["band", "class"], "left")
         .join(by_lang, "band", "left")
-        .join(F.broadcast(_bands(sound, "size", "class")), "class", "left")
+        .join(F.broadcast(_bands(sound, "script", "script", "class")), ["script", "class"], "left")
     )
     low, high = CHARS_PER_TOKEN
+    free, covered = _band("chars_per_token").isNull(), F.col("script").isin(*COVERED)
     long = F.col("n_tokens") >= LONG_TOKENS
     poor = F.col("token_entropy") < _band("token_entropy")["mid"]
     cpt = F.col("chars_per_token")
@@ -253,9 +285,9 @@ def quality_rules(
     many = (cpt > _limit("chars_per_token", 2)) | (poor & (cpt > _limit("chars_per_token", 1)))
     reason = (
         F.when(F.col("base_failed"), "base")
-        .when((cpt < low) | few, "few characters a token")
-        .when((cpt > high) | many, "many characters a token")
-        .when((F.col("fallback_share") > MOST_FALLBACK) | (F.col("fallback_share") > _limit("fallback_share", 1)), "byte fallback")
+        .when((free & covered & (cpt < low)) | few, "few characters a token")
+        .when((free & (cpt > high)) | many, "many characters a token")
+        .when((free & covered & (F.col("fallback_share") > MOST_FALLBACK)) | (F.col("fallback_share") > _limit("fallback_share", 1)), "byte fallback")
         .when((long & (F.col("token_entropy") < LEAST_ENTROPY)) | (F.col("token_entropy") < _limit("token_entropy", -1)), "low entropy")
     )
     return judged.select(

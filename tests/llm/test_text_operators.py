@@ -68,6 +68,36 @@ def test_quality_bands_reject_the_odd_one(spark):
     assert not kept[900]
 
 
+CLEAN = {
+    "ru": "утром над рекой стоял туман и рыбаки молча готовили лодки к выходу дети шли в школу через старый мост рынок открывался рано торговцы раскладывали яблоки хлеб мёд",
+    "zh": "清晨 河面上 笼罩着 薄雾 渔民们 默默地 准备 小船 孩子们 走过 古老的 石桥 上学 市场 很早 开门 商贩 摆出 苹果 面包 蜂蜜 老人 坐在 树下 谈论 天气",
+    "th": "เช้านี้ แม่น้ำ มีหมอก ชาวประมง เตรียมเรือ อย่างเงียบ เด็กๆ เดินไป โรงเรียน ข้ามสะพาน เก่าแก่ ตลาดเปิด แต่เช้า พ่อค้า วางขาย แอปเปิล ขนมปัง น้ำผึ้ง คนแก่ นั่งคุย ใต้ต้นไม้ เรื่องอากาศ",
+    "am": "ጠዋት በወንዙ ላይ ጭጋግ ነበር ዓሣ አጥማጆች ጀልባዎችን በዝምታ አዘጋጁ ልጆች በአሮጌው ድልድይ ወደ ትምህርት ቤት ሄዱ ገበያው ቀደም ብሎ ተከፈተ ነጋዴዎች ፖም ዳቦ ማር አቀረቡ",
+}
+
+
+@pytest.mark.parametrize("many,named", [(True, True), (False, True), (True, False), (False, False)])
+def test_quality_keeps_clean_texts_of_any_script(spark, many, named):
+    import random
+
+    rng = random.Random(11)
+    rows = [(i, fixtures.prose(rng, 300), "en") for i in range(200)]
+    for n, (lang, text) in enumerate(CLEAN.items(), 1):
+        rows += [(n * 1000 + i, " ".join(rng.choices(text.split(" "), k=200)), lang if named else None) for i in range(70 if many else 20)]
+    rows += [(9000, "\u0301\u0378 " * 300, "xx"), (9001, " ".join("aqzxjvkw"[i % 8] for i in range(300)), "yy")]
+    got = quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string"), BPE, PIECES).collect()
+    assert [(r["doc_id"], r["reject_reason"], r["chars_per_token"]) for r in got if not r["kept"] and r["doc_id"] < 9000] == []
+    assert not any(r["kept"] for r in got if r["doc_id"] >= 9000)
+
+
+def test_quality_names_scripts():
+    texts = ["abc", "", "12 \U0001f600", "ab где", "где ab", "สวัสดี", "მთა", "漢字かな", "𐐀𐐁𐐂", "é", "한국어 x"]
+    buf = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    want = ["Latin", "none", "none", "Cyrillic", "Cyrillic", "Thai", "Georgian", "Han", "Other", "Latin", "Hangul"]
+    assert quality.scripts_of(buf, offsets).tolist() == want
+
+
 def test_quality_keep(docs):
     rows, df = docs
     verdicts = quality.quality_rules(df, BPE, PIECES)
