@@ -111,11 +111,12 @@ class Tree:
         self.exact = exact if small else self.vectors.astype(np.int64)
 
     def search(self, own: int, query: np.ndarray, floor: float, k: int) -> list[tuple[int, int]]:
-        """(score, -id) of the k best rows but those of id ``own``, of a score of ``floor`` at least."""
+        """(score, -id) of the k best ids but ``own``, each with the best score of its rows, of a score of ``floor`` at least."""
         q = np.append(query.astype(np.float64), 0.0)
         q_int = query.astype(self.exact.dtype)
         reach = float((q**2).sum()) + self.top
         best: list[tuple[int, int]] = []
+        held: dict[int, int] = {}  # the scores in best, by id: rows that share an id take one place
 
         def worst() -> float:
             return max(floor, best[0][0]) if len(best) == k else floor
@@ -143,10 +144,19 @@ class Tree:
                     entry = (int(scores[i]), -ident)
                     if ident == own or entry[0] < worst():
                         continue
-                    if len(best) < k:
+                    if ident in held:
+                        if entry[0] <= held[ident]:
+                            continue
+                        best.remove((held[ident], -ident))
+                        best.append(entry)
+                        heapq.heapify(best)
+                    elif len(best) < k:
                         heapq.heappush(best, entry)
                     elif entry > best[0]:
-                        heapq.heapreplace(best, entry)
+                        del held[-heapq.heapreplace(best, entry)[1]]
+                    else:
+                        continue
+                    held[ident] = entry[0]
                 continue
             some = np.flatnonzero(near - page.radius <= limit)
             gaps = _distances(page.pivots[some], q)

@@ -78,6 +78,16 @@ def test_top_k(spark, seed, monkeypatch):
     assert sorted(got) == sorted(brute(rows))
 
 
+def test_top_k_counts_a_repeated_id_once(spark, monkeypatch):
+    monkeypatch.setattr(mtree, "BLOCK_ROWS", 128)
+    monkeypatch.setattr(mtree, "PAGE", 16)
+    rows = [r for r in vectors(3) if r[0] is not None and r[0] < 1000]
+    best = [2 * x for x in rows[0][1]]
+    rows += [(3001, best)] * 25 + [(3003, [x * (1 + i / 50) for x in best]) for i in range(30)]
+    got = [tuple(r) for r in mtree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()]
+    assert sorted(got) == sorted(brute([(i, np.float32(v).tolist()) for i, v in rows]))
+
+
 def test_top_k_of_few_and_none(spark):
     schema = "vec_id long, embedding array<float>"
     assert mtree.top_k(spark.createDataFrame([], schema)).collect() == []
