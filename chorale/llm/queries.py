@@ -152,11 +152,20 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</s>[INST] ok [/INST]").alias("text"),
     )
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
-    out = chat.format_conversations(turns).select(
+    formatted = chat.format_conversations(turns)
+    # the replies are read from the strings of the examples, each with all turns before it
+    reply = F.substring("text", F.col("loss_start") + 1, F.col("loss_end") - F.col("loss_start"))
+    losses = (
+        chat.expand(formatted)
+        .select(F.col("conv_id").alias("of"), F.struct("example", chat.unescape(reply).alias("reply")).alias("e"))
+        .groupBy("of")
+        .agg(F.array_join(F.transform(F.sort_array(F.collect_list("e")), lambda e: e["reply"]), "").alias("loss"))
+    )
+    out = formatted.join(losses, F.col("conv_id").eqNullSafe(F.col("of")), "left").select(
         "conv_id",
         F.size("segments").cast("long").alias("n_turns"),
         chat.read_turns(F.col("segments")).alias("turns"),
-        F.array_join(chat.read_targets(F.col("segments"), F.col("examples")), "").alias("loss"),
+        F.coalesce("loss", F.lit("")).alias("loss"),
         F.char_length(F.array_join("segments", "")).cast("long").alias("formatted_chars"),
     )
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

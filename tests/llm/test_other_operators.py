@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chorale.llm import chat, mtree
+from chorale.llm import chat, mtree, queries
 from chorale.llm.common import Scratch
 from chorale.llm.components import components
 
@@ -42,6 +42,18 @@ def test_chat_examples_are_prefixes(spark):
     assert chat.format_conversations(df.limit(0)).collect() == []
 
 
+def test_chat_query_reads_its_loss_from_the_examples(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string")
+    df.write.parquet(f"{tmp_path}/conversations.parquet")
+    made = []
+    expand = chat.expand
+    monkeypatch.setattr(chat, "expand", lambda formatted: made.append(expand(formatted)) or made[-1])
+    got = {r["conv_id"]: r["loss_chars"] for r in queries.op8_chat(spark, str(tmp_path)).collect()}
+    want = {c: sum(len(t[3] or "") for t in TURNS if t[0] == c and t[2] == "assistant") for c in {t[0] for t in TURNS}}
+    assert got == want | {-7: 21}
+    assert [m.count() for m in made] == [sum(t[2] == "assistant" for t in TURNS) + 1]
+
+
 def brute(rows, k=20):
     ok = {}
     for i, v in rows:
