@@ -36,7 +36,7 @@ class Balance:
     enabled: bool = False
     method: str = "undersample"
     max_per_file: int | None = None
-    min_per_class: int = 0
+    min_per_class: int = 50
 
 
 @dataclass(frozen=True)

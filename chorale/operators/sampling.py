@@ -49,10 +49,16 @@ def oversample(df: DataFrame, key: str, label: str, seed: int) -> DataFrame:
     return drawn.join(by.drop("rank_count"), [label, "rank"]).select(*df.columns, "draw")
 
 
-def capped_sample(df: DataFrame, key: str, label: str, file: str, seed: int, per_file: int, target: int) -> DataFrame:
-    """Of each class at most ``per_file`` rows of a file, and ``target`` rows of what is left: without replacement where
-    there are enough, else drawn with replacement. ``draw`` numbers a class's rows from 0."""
-    pool = ranked(df, [F.col(label), F.col(file)], [order_key(seed, F.col(key)), F.col(key)], "in_file").where(F.col("in_file") <= per_file)
+def capped_sample(df: DataFrame, key: str, label: str, file: str, seed: int, per_file: int | None, target: int | None = None) -> DataFrame:
+    """Of each class at most ``per_file`` rows of a file (None: all), and ``target`` rows of what is left (None: as many as
+    the largest class of ``df`` has): without replacement where there are enough, else drawn with replacement.
+    ``draw`` numbers a class's rows from 0."""
+    if target is None:
+        target = df.groupBy(label).count().agg(F.max("count")).first()[0] or 0
+    if per_file is None:
+        pool = df
+    else:
+        pool = ranked(df, [F.col(label), F.col(file)], [order_key(seed, F.col(key)), F.col(key)], "in_file").where(F.col("in_file") <= per_file)
     pool = ranked(pool.select(*df.columns), [F.col(label)], [order_key(seed + 1, F.col(key)), F.col(key)], "at")
     enough = pool.where((F.col("at_count") >= target) & (F.col("at") <= target)).select(*df.columns, (F.col("at") - 1).alias("draw"))
     small = pool.where(F.col("at_count") < target).groupBy(label).agg(F.max("at_count").alias("_n"))
@@ -62,6 +68,20 @@ def capped_sample(df: DataFrame, key: str, label: str, file: str, seed: int, per
     return enough.unionByName(again)
 
 
+def balance(df: DataFrame, key: str, label: str, file: str, seed: int, method: str, per_file: int | None, least: int) -> DataFrame:
+    """The classes with at least ``least`` rows, balanced by the method: undersample, oversample or controlled_oversample.
+    A row that is drawn more than once is there as often, told apart by ``draw`` (0 throughout if undersampled)."""
+    kept, _ = frequent_classes(df, label, least)
+    df = df.join(kept.select(label), label, "left_semi")
+    if method == "undersample":
+        return undersample(df, key, label, seed).withColumn("draw", F.lit(0).cast("bigint"))
+    if method == "oversample":
+        return oversample(df, key, label, seed)
+    if method == "controlled_oversample":
+        return capped_sample(df, key, label, file, seed, per_file)
+    raise ValueError(f"method {method!r} is none of undersample, oversample, controlled_oversample")
+
+
 def split(df: DataFrame, key: str, test: float, validation: float, order: Column | None = None) -> DataFrame:
     """``df`` with ``split``: train, validation and test as contiguous runs of the order (the key without one).
     Test has the rounded-up share of all rows, validation the rounded-up share of all of the rest."""

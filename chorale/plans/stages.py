@@ -112,16 +112,20 @@ def mixtures(segments_: DataFrame, noise_: DataFrame, rate: int, config: Config)
     segments_ = segments_.where(F.size("samples") >= n)
     meta = segments_.select("segment_id", "original_file", "birdset_code")
     if config.balance.enabled:
-        chosen = sampling.undersample(meta, "segment_id", "birdset_code", config.seed)
+        b = config.balance
+        drawn = sampling.balance(meta, "segment_id", "birdset_code", "original_file", config.seed, b.method, b.max_per_file, b.min_per_class)
+        # copies of a segment are rows of their own, shuffled apart from each other
+        copy = F.when(F.col("draw") == 0, F.col("segment_id")).otherwise(F.concat_ws("#", "segment_id", "draw"))
+        chosen = drawn.withColumn("copy_id", copy).drop("draw")
     else:
-        chosen = meta
-    split = sampling.split(chosen, "segment_id", mix.test_share, mix.validation_share)
+        chosen = meta.withColumn("copy_id", F.col("segment_id"))
+    split = sampling.split(chosen, "copy_id", mix.test_share, mix.validation_share)
     rows = noise.window_rows(mix.batch_rows, mix.max_polyphony)
     pool = noise.enlarge(noise_.where(F.size("samples") >= n).select("noise_id"), "noise_id", rows, config.seed)
     size = pool.agg(F.max("n_noise")).first()[0]
     parts = []
     for name in ("train", "validation", "test"):
-        copies = sampling.replicate(split.where(F.col("split") == name).drop("split"), "segment_id", mix.replications, config.seed)
+        copies = sampling.replicate(split.where(F.col("split") == name).drop("split"), "copy_id", mix.replications, config.seed)
         batched = copies.withColumn("batch_idx", F.floor(F.col("position") / mix.batch_rows)).withColumn("split", F.lit(name))
         parts.append(batched)
     batched = parts[0].unionByName(parts[1]).unionByName(parts[2])

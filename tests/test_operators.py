@@ -46,6 +46,19 @@ def test_balance(spark):
     assert dict(sampling.oversample(df, "id", "k", 1).groupBy("k").count().collect()) == {"a": 30, "b": 30, "c": 30}
 
 
+@pytest.mark.parametrize("method,n", [("undersample", 60), ("oversample", 90), ("controlled_oversample", 90)])
+def test_balance_by_method_without_rare_classes(spark, method, n):
+    df = spark.range(151).select("id", F.when(F.col("id") < 1, "rare").when(F.col("id") < 61, "b").otherwise("c").alias("k"), (F.col("id") % 5).alias("file"))
+    got = sampling.balance(df, "id", "k", "file", 1, method, 3, 50).collect()
+    assert {k: sum(r["k"] == k for r in got) for k in {r["k"] for r in got}} == {"b": n, "c": n}
+    if method == "controlled_oversample":
+        assert {k: len({r["id"] for r in got if r["k"] == k}) <= 15 for k in "bc"} == {"b": True, "c": True}
+    whole = sampling.balance(df, "id", "k", "file", 1, "controlled_oversample", None, 0).groupBy("k").count().collect()
+    assert dict(whole) == {"rare": 90, "b": 90, "c": 90}
+    with pytest.raises(ValueError):
+        sampling.balance(df, "id", "k", "file", 1, "other", None, 0)
+
+
 def test_no_label_tells_null_from_empty(spark):
     df = spark.createDataFrame([(1, None, [], None), (2, None, None, None), (3, 5, [], None), (4, None, [1], None)], "id int, c int, m array<int>, s string")
     assert [r["id"] for r in df.where(sampling.no_label(F.col("c"), F.col("m"), F.col("s"))).collect()] == [1]

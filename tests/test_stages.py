@@ -9,9 +9,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chorale.config import Config, Mix, Segmentation, Separation
+from chorale.config import Balance, Config, Mix, Segmentation, Separation
 from chorale.functions import codec, dsp
-from chorale.operators import models
+from chorale.operators import models, sampling
 from chorale.plans import stages
 from chorale.schemas import MIXTURES
 from chorale.sources import readers, sinks
@@ -72,6 +72,21 @@ def test_pipeline(spark):
     assert (len(samples), rate, row["audio"]["path"]) == (2 * RATE, RATE, f"{row['id']}.wav")
 
 
+@pytest.mark.parametrize("method", ["undersample", "oversample", "controlled_oversample"])
+def test_mixtures_balance_by_the_method(spark, monkeypatch, method):
+    rows = [(f"s{i}", f"f{i}", 0 if i == 0 else 1 + (i % 3 == 0), [0.5] * RATE, [[0.0, 1.0]]) for i in range(40)]
+    found = spark.createDataFrame(rows, "segment_id string, original_file string, birdset_code int, samples array<double>, time_freq_bounds array<array<double>>")
+    noise = spark.createDataFrame([(f"n{i}", [0.1] * RATE) for i in range(3)], "noise_id string, samples array<double>")
+    seen = []
+    split = sampling.split
+    monkeypatch.setattr(sampling, "split", lambda df, *a: seen.append(df) or split(df, *a))
+    config = Config(segmentation=Segmentation(segment_length_s=1.0), mix=CONFIG.mix, balance=Balance(enabled=True, method=method, max_per_file=1, min_per_class=10))
+    assert stages.mixtures(found, noise, RATE, config).count() > 0
+    n = 13 if method == "undersample" else 26
+    assert dict(seen[0].groupBy("birdset_code").count().collect()) == {1: n, 2: n}
+    assert seen[0].select("copy_id").distinct().count() == 2 * n
+
+
 def test_noise_and_test(spark):
     rows = [(f"s{i}", None if i % 2 else i, [] if i % 2 else [i], None) for i in range(20)]
     df = spark.createDataFrame(rows, "recording_id string, ebird_code bigint, ebird_code_multilabel array<bigint>, ebird_code_secondary array<string>")
