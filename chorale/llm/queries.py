@@ -157,24 +157,25 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     reply = F.substring("text", F.col("loss_start") + 1, F.col("loss_end") - F.col("loss_start"))
     losses = (
         chat.expand(formatted)
-        .select(F.col("conv_id").alias("of"), F.struct("example", chat.unescape(reply).alias("reply")).alias("e"))
-        .groupBy("of")
+        .select("conv_id", F.struct("example", chat.unescape(reply).alias("reply")).alias("e"))
+        .groupBy("conv_id")
         .agg(F.array_join(F.transform(F.sort_array(F.collect_list("e")), lambda e: e["reply"]), "").alias("loss"))
+        .select(F.col("conv_id").alias("of"), F.char_length("loss").cast("long").alias("chars"), F.sha2("loss", 256).alias("sha256"))
     )
-    out = formatted.join(losses, F.col("conv_id").eqNullSafe(F.col("of")), "left").select(
+    said = F.array_join(F.transform(chat.read_turns(F.col("segments")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    # both sides are a row of fixed width a conversation before they move
+    whole = formatted.select(
         "conv_id",
         F.size("segments").cast("long").alias("n_turns"),
-        chat.read_turns(F.col("segments")).alias("turns"),
-        F.coalesce("loss", F.lit("")).alias("loss"),
+        F.sha2(said, 256).alias("turns_sha256"),
         F.char_length(F.array_join("segments", "")).cast("long").alias("formatted_chars"),
     )
-    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    return out.select(
+    return whole.join(losses, F.col("conv_id").eqNullSafe(F.col("of")), "left").select(
         "conv_id",
         "n_turns",
-        F.sha2(said, 256).alias("turns_sha256"),
-        F.char_length("loss").cast("long").alias("loss_chars"),
-        F.sha2("loss", 256).alias("loss_sha256"),
+        "turns_sha256",
+        F.coalesce("chars", F.lit(0).cast("long")).alias("loss_chars"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("loss_sha256"),
         "formatted_chars",
     )
 
