@@ -65,16 +65,24 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = os.path.join(shared_dir(spark), f"chorale-{uuid.uuid4().hex}")
+        self.names: set[str] = set()
         small_batches(spark)
         atexit.register(_forget, spark, self.path)
 
     def write(self, frame: DataFrame, name: str) -> DataFrame:
         target = f"{self.path}/{name}"
         frame.write.option("compression", "zstd").parquet(target)
+        self.names.add(name)
         return self.spark.read.schema(frame.schema).parquet(target)
 
     def drop(self, name: str) -> None:
         _forget(self.spark, f"{self.path}/{name}")
+        self.names.discard(name)
+
+    def keep(self, *names: str) -> None:
+        """Drops all tables but these."""
+        for name in self.names - set(names):
+            self.drop(name)
 
 
 def has(frame: DataFrame, *names: str) -> None:

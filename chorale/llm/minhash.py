@@ -6,11 +6,19 @@ equal registers are as likely as the sets are similar. Bands of registers name b
 registers that are larger, smaller and equal give the Jaccard similarity of a pair by
 maximum likelihood; what may reach the threshold is verified on the full sets.
 
-Copies are one class from the start (equal sets), so a group of copies is one node. In a
-bucket each class meets the bucket's least class only. Where a bucket still holds several
-components after that, its members are compared pair by pair inside tasks, in blocks of a
-bounded size, and only links that join components come out: no link between candidates is
-lost and no group emits its pairs.
+Copies are one class from the start (equal sets), so a group of copies is one node. Links
+are then found in three steps, of which none emits the pairs of a group:
+
+1. In a bucket each class meets the bucket's hub, its least class.
+2. Where a bucket still holds several components, an exact bound decides who can have a link
+   at all. A shingle that only one component holds is that component's own: a set of n
+   shingles, u of them its own, shares n - u at most with any other component, and together
+   with a set of v own ones has n + v at least. Near copies that are not linked fail this
+   bound by the words that they do not share. Classes that pass meet a second hub, the one
+   with the fewest own shingles.
+3. What is still apart and still within the bound is compared pair by pair inside tasks, in
+   blocks of a bounded size. The bucket's commonest component stands in its own blocks only;
+   the others, which the bound has left, meet these. Only links that join components come out.
 """
 
 from __future__ import annotations
@@ -24,7 +32,7 @@ from pyspark.sql import functions as F
 
 from chorale.llm.common import Scratch, broadcast_if_small, col, has, spare, text_id
 from chorale.llm.components import components
-from chorale.llm.kernels import WordHash, chunks, find_words, mix64, release
+from chorale.llm.kernels import WordHash, chunks, find_words, mix64, release, text_buffer
 
 SHINGLE_WORDS = 5
 REGISTERS = 128
@@ -34,7 +42,13 @@ BANDS = REGISTERS // BAND_ROWS
 BASE, RATE = 1.001, 20.0
 #: A pair goes on to verification unless its estimate is so many standard deviations too low.
 SIGMAS = 5.0
+#: Classes of a block in step 3; partners that a hub meets at once, about.
 BLOCK = 256
+RUN = 512
+#: Pairs whose sketches are compared at once; bytes of text, and distinct shingles, that two blocks compare at once.
+COMPARED = 2048
+HELD_BYTES = 8 << 20
+COLUMNS = 1 << 14
 
 _WORDS = WordHash(0xA11CE, lower_ascii=True)
 _rng = np.random.Generator(np.random.PCG64(20))
@@ -149,90 +163,190 @@ def _registers_of(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, REGISTERS)
 
 
-def _promising(percent: int):
+def _by_sketch(percent: int):
+    """Of runs of rows (a, run, b, n, body) led by the hub's row (b null): the pairs (a, b) that may reach the threshold
+    by their sketches."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                good = may_reach(
-                    _registers_of(batch.column("sketch_a")), _registers_of(batch.column("sketch_b")),
-                    batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), percent,
-                )
-                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good))
+        led, led_n = np.zeros((1, REGISTERS), np.uint16), np.zeros(1, np.int64)
+        for whole in batches:
+            for at in range(0, whole.num_rows, COMPARED):
+                batch = whole.slice(at, COMPARED)
+                regs = np.concatenate([led, _registers_of(batch.column("body"))])
+                n = np.concatenate([led_n, batch.column("n").to_numpy()])
+                is_hub = np.concatenate([[True], batch.column("b").is_null().to_numpy(zero_copy_only=False)])
+                hub = np.maximum.accumulate(np.where(is_hub, np.arange(len(n)), 0))
+                rows = np.flatnonzero(~is_hub)
+                good = rows[may_reach(regs[hub[rows]], regs[rows], n[hub[rows]], n[rows], percent)]
+                yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(good - 1)) for c in "ab"], ["a", "b"])
+                led, led_n = regs[hub[-1]][None].copy(), n[hub[-1]][None].copy()
 
     return run
 
 
-def similar(left: pa.Array, right: pa.Array, percent: int) -> np.ndarray:
-    """Row by row: 100 * shared shingles >= percent * all shingles, on the full sets of both texts."""
-    out = []
-    for i, j, buf, offsets in chunks(left):
-        a, at_a = shingle_sets(buf, offsets)
-        _, _, buf, offsets = next(chunks(right.slice(i, j - i), 1 << 62))
-        b, at_b = shingle_sets(buf, offsets)
-        rows = np.concatenate([np.repeat(np.arange(j - i), np.diff(at)) for at in (at_a, at_b)])
-        values = np.concatenate([a, b])
-        order = np.lexsort((values, rows))
-        rows, values = rows[order], values[order]
-        same = (rows[1:] == rows[:-1]) & (values[1:] == values[:-1])
-        shared = np.bincount(rows[1:][same], minlength=j - i)
-        total = np.diff(at_a) + np.diff(at_b) - shared
-        out.append((100 * shared >= percent * total) & (total > 0))
-    return np.concatenate(out) if out else np.zeros(0, bool)
-
-
-def _verified(percent: int):
+def _shared(hub: np.ndarray, values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """How many of each set's sorted values the sorted ``hub`` holds."""
+    if not len(hub):
+        return np.zeros(len(bounds) - 1, np.int64)
+    found = hub[np.minimum(np.searchsorted(hub, values), len(hub) - 1)] == values
+    total = np.concatenate([[0], np.cumsum(found)])
+    return total[bounds[1:]] - total[bounds[:-1]]
+
+
+def _by_text(percent: int):
+    """As ``_by_sketch``, on the full sets of the texts: the links."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
+        led = np.zeros(0, np.uint64)
         for batch in batches:
-            if batch.num_rows:
-                good = similar(batch.column("text_a"), batch.column("text_b"), percent)
-                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good))
+            is_hub = batch.column("b").is_null().to_numpy(zero_copy_only=False)
+            for i, j, buf, offsets in chunks(batch.column("body")):
+                values, bounds = shingle_sets(buf, offsets)
+                edges = np.flatnonzero(is_hub[i:j]).tolist()
+                good = []
+                for first, end in zip([-1, *edges], [*edges, j - i], strict=True):
+                    if first >= 0:
+                        led = values[bounds[first] : bounds[first + 1]].copy()
+                    own = bounds[first + 1 : end + 1]
+                    shared = _shared(led, values[own[0] : own[-1]], own - own[0])
+                    union = len(led) + np.diff(own) - shared
+                    good.append(first + 1 + np.flatnonzero((100 * shared >= percent * union) & (union > 0)))
+                rows = pa.array(i + np.concatenate(good))
+                yield pa.RecordBatch.from_arrays([batch.column(c).take(rows) for c in "ab"], ["a", "b"])
 
     return run
 
 
+def _met(pairs: DataFrame, bodies: DataFrame, judge) -> DataFrame:
+    """The pairs (a, b) of ``pairs`` (a, b, run) that ``judge`` lets pass; ``bodies`` has (id, n, body). A hub's body
+    moves once a run, and its runs are dealt by themselves, so that no hub's partners are one task."""
+    partners = pairs.join(bodies, pairs["b"] == bodies["id"]).select("a", "run", "b", "n", "body")
+    hubs = pairs.select("a", "run").distinct()
+    hubs = hubs.join(bodies, hubs["a"] == bodies["id"]).select("a", "run", F.lit(None).cast("long").alias("b"), "n", "body")
+    rows = partners.unionByName(hubs).repartition("a", "run")
+    return rows.sortWithinPartitions("a", "run", F.col("b").asc_nulls_first()).mapInArrow(judge, "a long, b long")
+
+
+def _dealt(pairs: DataFrame) -> DataFrame:
+    """Distinct (a, b, run) of (a, b, size of a bucket that holds both): a hub has a run for about RUN of its partners."""
+    runs = F.ceil(F.max("size") / RUN)
+    return pairs.groupBy("a", "b").agg(runs.alias("runs")).select("a", "b", F.pmod(F.xxhash64("b"), "runs").alias("run"))
+
+
+def _shingles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shingle, rep, comp) of rows (rep, comp, text)."""
+    release()
+    for batch in batches:
+        for i, j, buf, offsets in chunks(batch.column("text")):
+            values, bounds = shingle_sets(buf, offsets)
+            of = pa.array(i + np.repeat(np.arange(j - i), np.diff(bounds)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(values.view(np.int64)), batch.column("rep").take(of), batch.column("comp").take(of)], ["shingle", "rep", "comp"]
+            )
+
+
+def _own_shingles(classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Of rows (rep, comp): rep and how many of its shingles no other component of ``classes`` holds, where there are any."""
+    rows = classes.join(texts, classes["rep"] == texts["id"]).select("rep", "comp", "text")
+    shingles = rows.mapInArrow(_shingles_of, "shingle long, rep long, comp long")
+    held = shingles.groupBy("shingle").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    own = held.where("low = high").select("shingle")
+    return shingles.select("shingle", "rep").join(own, "shingle").groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
+
+
+def _several(members: DataFrame) -> DataFrame:
+    """The rows (key, comp, ...) of the buckets that hold several components."""
+    keys = members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
+    return members.join(keys, "key", "left_semi")
+
+
+def _within_bound(members: DataFrame, percent: int) -> DataFrame:
+    """Of rows (key, rep, comp, n, own, ...) those that can be linked with another component of their bucket."""
+    least = _several(members).groupBy("key").agg(F.min("own").alias("least"))
+    passed = members.join(least, "key").where(100 * (F.col("n") - F.col("own")) >= percent * (F.col("n") + F.col("least")))
+    return _several(passed.drop("least"))  # the bound may have left one component
+
+
+def _lifted(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links (a, b) of nodes as links of their components in ``labels`` (node, component)."""
+    for end in "ab":
+        of = labels.select(F.col("node").alias(end), F.col("component").alias("lifted"))
+        links = links.join(of, end, "left").withColumn(end, F.coalesce("lifted", end)).drop("lifted")
+    return links
+
+
+def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` with ``comp`` replaced by its component in ``labels`` (node, component), where it has one."""
+    merged = labels.select(F.col("node").alias("comp"), "component")
+    return rows.join(merged, "comp", "left").withColumn("comp", F.coalesce("component", "comp")).drop("component")
+
+
+def _in_blocks(rest: DataFrame) -> DataFrame:
+    """Rows (key, rep, comp, ...) with ``slot``, ``i`` and ``j``: their block, and the pair of blocks that a task compares.
+    A bucket's commonest component has blocks of its own, which meet the others' blocks but not each other."""
+    counts = rest.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("size"))
+    most = counts.groupBy("key").agg(F.max(F.struct("size", "comp")).alias("most"), F.sum("size").alias("all"))
+    blocks = [F.ceil(x / BLOCK).cast("int") for x in (F.col("all") - F.col("most.size"), F.col("most.size"))]
+    others, own = most.select("key", F.col("most.comp").alias("main"), blocks[0].alias("others"), blocks[1].alias("mains")), F.xxhash64("rep")
+    is_main = F.col("comp") == F.col("main")
+    slot = F.when(is_main, F.col("others") + F.pmod(own, F.col("mains"))).otherwise(F.pmod(own, F.col("others"))).cast("int")
+    last = F.when(is_main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
+    placed = rest.join(others, "key").withColumn("slot", slot).withColumn("met", F.explode(F.sequence(F.lit(0), last)))
+    return placed.withColumn("i", F.least("slot", "met")).withColumn("j", F.greatest("slot", "met")).drop("main", "others", "mains", "met")
+
+
+def _intersections(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """How many shingles each set of ``one`` (values, bounds) shares with each of ``other``."""
+    out = np.zeros((len(one[1]) - 1, len(other[1]) - 1), np.float32)
+    both = np.intersect1d(one[0], other[0])
+    for at in range(0, len(both), COLUMNS):
+        own = both[at : at + COLUMNS]
+        sides = []
+        for values, bounds in (one, other):
+            place = np.minimum(np.searchsorted(own, values), len(own) - 1)
+            hit = np.flatnonzero(own[place] == values)
+            side = np.zeros((len(bounds) - 1, len(own)), np.float32)
+            side[np.searchsorted(bounds, hit, "right") - 1, place[hit]] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out.astype(np.int64)
+
+
 def _block_links(percent: int):
-    """Links between components inside one block pair of one bucket, each pair in its first common band only."""
+    """Links between components inside one pair of blocks of one bucket."""
 
     def run(table: pa.Table) -> pa.Table:
-        bi, bj, band = (table.column(c)[0].as_py() for c in ("bi", "bj", "band"))
-        own = table.column("block").to_numpy()
-        sides = [np.flatnonzero(own == b) for b in (bi, bj)]
-        regs = _registers_of(table.column("sketch"))
-        n, comp = table.column("n").to_numpy(), table.column("comp").to_numpy()
-        ids, hub = table.column("rep").to_numpy(), table.column("hub")[0].as_py()
-        keys = band_keys(regs)
-        pairs = []
-        for x in sides[0].tolist():
-            y = sides[1][sides[1] > x] if bi == bj else sides[1]
-            y = y[(comp[y] != comp[x]) & (ids[y] != hub)] if ids[x] != hub else y[:0]
-            if len(y):
-                common = keys[y] == keys[x]
-                y = y[common.argmax(axis=1) == band]
-            if len(y):
-                y = y[may_reach(np.repeat(regs[x][None], len(y), axis=0), regs[y], np.repeat(n[x], len(y)), n[y], percent)]
-                pairs += [(x, k) for k in y.tolist()]
-        root = {}
-
-        def find(c):
+        slot = table.column("slot").to_numpy()
+        n, own, comp = (table.column(c).to_numpy() for c in ("n", "own", "comp"))
+        texts = table.column("text").combine_chunks()
+        sides = []
+        for block in (table.column(c)[0].as_py() for c in ("i", "j")):
+            rows = np.flatnonzero(slot == block)
+            sides.append([rows[i:j] for i, j, _, _ in chunks(texts.take(pa.array(rows)), HELD_BYTES)])
+        same = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        root: dict[int, int] = {}
+
+        def find(c: int) -> int:
             while root.get(c, c) != c:
                 c = root[c]
             return c
 
+        def sets_of(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            return shingle_sets(*text_buffer(texts.take(pa.array(rows))))
+
         links = []
-        sets: dict[int, np.ndarray] = {}
-        for x, y in pairs:
-            cx, cy = find(comp[x]), find(comp[y])
-            if cx == cy:
-                continue
-            for k in (x, y):
-                if k not in sets:
-                    body = (table.column("text")[k].as_py() or "").encode()
-                    sets[k] = shingle_sets(np.frombuffer(body, np.uint8), np.array([0, len(body)]))[0]
-            shared = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-            if 100 * shared >= percent * (len(sets[x]) + len(sets[y]) - shared):
-                root[max(cx, cy)] = min(cx, cy)
-                links.append((int(comp[x]), int(comp[y])))
+        for at, x in enumerate(sides[0]):
+            first = sets_of(x)
+            for y in sides[1][at:] if same else sides[1]:
+                shared = _intersections(first, sets_of(y))
+                good = (comp[x][:, None] != comp[y]) & (100 * shared >= percent * (n[x][:, None] + n[y] - shared))
+                for i in np.flatnonzero(good.any(axis=1)).tolist():
+                    for c in np.unique(comp[y][good[i]]).tolist():
+                        low, high = sorted((find(int(comp[x][i])), find(c)))
+                        if low != high:
+                            root[high] = low
+                            links.append((low, high))
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
     return run
@@ -267,46 +381,48 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = scratch.write(
         banded.groupBy("key").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets"
     )
-    members = scratch.write(banded.join(buckets, "key"), "members")
-    known = classes.select("rep", "rep_row", "n", "sketch")
-    pairs = members.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    sided = [known.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}")) for s in "ab"]
-    promising = scratch.write(pairs.join(sided[1], "b").join(sided[0], "a").mapInArrow(_promising(percent), "a long, b long"), "pairs")
-    wanted = known.join(members.select("rep").distinct(), "rep", "left_semi").select(F.col("rep").alias("id"), F.col("rep_row").alias("row"))
-    wanted = broadcast_if_small(scratch.write(wanted.distinct(), "wanted"))
-    texts = scratch.write(source.join(wanted, ["id", "row"]).dropDuplicates(["id", "row"]).select("id", "text"), "texts")
-    bodies = [texts.select(F.col("id").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab"]
-    links = scratch.write(promising.join(bodies[1], "b").join(bodies[0], "a").mapInArrow(_verified(percent), "a long, b long"), "links")
-    found = scratch.write(components(links, scratch, "stars"), "components")
-
-    placed = members.join(found, members["rep"] == found["node"], "left").select(
-        "key", "band", "rep", "hub", "size", F.coalesce("component", "rep").alias("comp")
-    )
-    split = scratch.write(
-        placed.where("size > 2").groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key"),
-        "split",
-    )
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    rest = (
-        placed.join(split, "key", "left_semi")
-        .withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .withColumn("bi", F.least("block", "other"))
-        .withColumn("bj", F.greatest("block", "other"))
-        .select("key", "band", "rep", "hub", "comp", "block", "bi", "bj")
-    )
-    compared = rest.join(known.select("rep", "n", "sketch"), "rep").join(texts.withColumnRenamed("id", "rep"), "rep")
-    more = scratch.write(compared.groupBy("key", "bi", "bj").applyInArrow(_block_links(percent), "a long, b long"), "more-links")
-    merged = components(more, scratch, "more-stars").select(F.col("node").alias("component"), F.col("component").alias("merged"))
-
-    labels = classes.where("copies > 1").select("rep").unionByName(found.select(F.col("node").alias("rep"))).unionByName(
-        merged.select(F.col("component").alias("rep"))
-    ).distinct()
-    labels = labels.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    labels = labels.join(merged, "component", "left").select("rep", F.coalesce("merged", "component").alias("component"))
+    members = scratch.write(banded.drop("band").join(buckets, "key"), "members")
+    wanted = members.groupBy("rep").agg(F.max("size").alias("size"))
+    known = scratch.write(classes.select("rep", "rep_row", "n", "sketch").join(wanted, "rep"), "known")
+    small = broadcast_if_small(known.select(F.col("rep").alias("id"), F.col("rep_row").alias("row"), "n"))
+    texts = scratch.write(source.join(small, ["id", "row"]).dropDuplicates(["id", "row"]).select("id", "n", "text"), "texts")
+    sketched = known.select(F.col("rep").alias("id"), "n", F.col("sketch").alias("body"))
+
+    def linked_pairs(pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs (a, b, size) that are linked."""
+        promising = scratch.write(_met(_dealt(pairs), sketched, _by_sketch(percent)), f"{name}-pairs")
+        again = _dealt(promising.join(pairs, ["a", "b"]))
+        return scratch.write(_met(again, texts.withColumnRenamed("text", "body"), _by_text(percent)), f"{name}-links")
+
+    first = linked_pairs(members.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"), "size"), "first")
+    found = scratch.write(components(first, scratch, "stars"), "components")
+
+    # a bucket's hub has met all others
+    apart = _relabelled(members.where("rep <> hub").drop("hub", "size").withColumn("comp", F.col("rep")), found)
+    apart = scratch.write(_several(apart).join(known.select("rep", "n"), "rep"), "apart")
+    own = scratch.write(_own_shingles(apart.select("rep", "comp").distinct(), texts), "own")
+    bounded = scratch.write(_within_bound(apart.join(own, "rep", "left").fillna(0, ["own"]), percent), "bounded")
+    hubs = bounded.groupBy("key").agg(F.min(F.struct("own", "rep", "comp")).alias("hub"), F.count(F.lit(1)).alias("size"))
+    met = bounded.join(hubs, "key")
+    second = linked_pairs(met.where("comp <> hub.comp").select(F.col("hub.rep").alias("a"), F.col("rep").alias("b"), "size"), "second")
+    merged = scratch.write(components(_lifted(second, found), scratch, "second-stars"), "second-components")
+
+    rest = _relabelled(met.where("rep <> hub.rep").drop("hub", "size"), merged)
+    rest = scratch.write(_within_bound(rest, percent), "rest")
+    compared = _in_blocks(rest).join(texts.select(F.col("id").alias("rep"), "text"), "rep")
+    third = scratch.write(compared.groupBy("key", "i", "j").applyInArrow(_block_links(percent), "a long, b long"), "third-links")
+    last = scratch.write(components(third, scratch, "third-stars"), "third-components")
+
+    labels = classes.where("copies > 1").select("rep")
+    for labelled in (found, merged, last):
+        labels = labels.unionByName(labelled.select(F.col("node").alias("rep")))
+    labels = labels.distinct().withColumn("comp", F.col("rep"))
+    for labelled in (found, merged, last):
+        labels = _relabelled(labels, labelled)
     by_key = scratch.write(
-        classes.select("k1", "k2", "rep").join(labels, "rep").select("k1", "k2", "component"), "labels"
+        classes.select("k1", "k2", "rep").join(labels, "rep").select("k1", "k2", F.col("comp").alias("component")), "labels"
     )
+    scratch.keep("sketches", "labels")
     out = sketches.select("id", "row", "n", "k1", "k2").join(by_key, ["k1", "k2"], "left")
     component = F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(F.col("id")))
     return out.select(

@@ -313,6 +313,46 @@ def test_blocks_of_a_large_bucket(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in got} == fixtures.components(rows, 85)
 
 
+@pytest.mark.parametrize("vocabulary", [30, 10**9])
+def test_near_copies_of_one_text_around_the_threshold(spark, monkeypatch, vocabulary):
+    """Links are those of brute force, whether the copies' own words are shared or not, and the third step's rows stay few."""
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    import random
+
+    monkeypatch.setattr(minhash, "RUN", 8)
+    made, in_blocks = [], minhash._in_blocks
+
+    def counted(rest):
+        made.append((rest.count(), in_blocks(rest).count()))
+        return in_blocks(rest)
+
+    monkeypatch.setattr(minhash, "_in_blocks", counted)
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(500)}" for _ in range(150)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for _ in range(rng.choice((2, 3, 3, 4))):
+            words[rng.randrange(150)] = f"x{rng.randrange(vocabulary)}"
+        rows.append((i, " ".join(words)))
+    want = fixtures.components(rows, 85)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=85).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+    assert len(set(want.values())) > 100
+    if vocabulary > 10**6:
+        assert made[0] == (0, 0)
+
+
+def test_hub_runs(spark):
+    """Pairs judged in runs of a hub are those of the texts' sets, whatever the hub's number of partners."""
+    texts = ["a b c d e f g h", "a b c d e f g x", "A b c d e f g h", "q r s t u v", "", "a b c d e f g h i"]
+    bodies = spark.createDataFrame([(i, len(fixtures.shingles(t)), t) for i, t in enumerate(texts)], "id long, n long, body string")
+    pairs = spark.createDataFrame([(a, b, a % 2 + b % 3) for a in range(6) for b in range(6) if a != b], "a long, b long, run long")
+    got = {tuple(r) for r in minhash._met(pairs, bodies, minhash._by_text(60)).collect()}
+    sets = [fixtures.shingles(t) for t in texts]
+    assert got == {(a, b) for a in range(6) for b in range(6) if a != b and sets[a] | sets[b] and 100 * len(sets[a] & sets[b]) >= 60 * len(sets[a] | sets[b])}
+
+
 def test_estimate_is_near_the_truth():
     rng = np.random.default_rng(1)
     for share in (0.2, 0.5, 0.9):
