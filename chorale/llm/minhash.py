@@ -42,13 +42,14 @@ BANDS = REGISTERS // BAND_ROWS
 BASE, RATE = 1.001, 20.0
 #: A pair goes on to verification unless its estimate is so many standard deviations too low.
 SIGMAS = 5.0
-#: Classes of a block in step 3; partners that a hub meets at once, about.
-BLOCK = 256
+#: Shingles of a block in step 3; partners that a hub meets at once, about.
+BLOCK = 400_000
 RUN = 512
-#: Pairs whose sketches are compared at once; bytes of text, and distinct shingles, that two blocks compare at once.
+#: Pairs whose sketches are compared at once; bytes of text, and shingles held by more than OFTEN pairs, that two
+#: blocks compare at once.
 COMPARED = 2048
-HELD_BYTES = 8 << 20
-COLUMNS = 1 << 14
+HELD_BYTES = 4 << 20
+COLUMNS, OFTEN = 1 << 12, 256
 
 _WORDS = WordHash(0xA11CE, lower_ascii=True)
 _rng = np.random.Generator(np.random.PCG64(20))
@@ -283,9 +284,9 @@ def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _in_blocks(rest: DataFrame) -> DataFrame:
-    """Rows (key, rep, comp, ...) with ``slot``, ``i`` and ``j``: their block, and the pair of blocks that a task compares.
+    """Rows (key, rep, comp, n, ...) with ``slot``, ``i`` and ``j``: their block, and the pair of blocks that a task compares.
     A bucket's commonest component has blocks of its own, which meet the others' blocks but not each other."""
-    counts = rest.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("size"))
+    counts = rest.groupBy("key", "comp").agg(F.sum("n").alias("size"))
     most = counts.groupBy("key").agg(F.max(F.struct("size", "comp")).alias("most"), F.sum("size").alias("all"))
     blocks = [F.ceil(x / BLOCK).cast("int") for x in (F.col("all") - F.col("most.size"), F.col("most.size"))]
     others, own = most.select("key", F.col("most.comp").alias("main"), blocks[0].alias("others"), blocks[1].alias("mains")), F.xxhash64("rep")
@@ -300,16 +301,36 @@ def _intersections(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray,
     """How many shingles each set of ``one`` (values, bounds) shares with each of ``other``."""
     out = np.zeros((len(one[1]) - 1, len(other[1]) - 1), np.float32)
     both = np.intersect1d(one[0], other[0])
-    for at in range(0, len(both), COLUMNS):
-        own = both[at : at + COLUMNS]
-        sides = []
-        for values, bounds in (one, other):
-            place = np.minimum(np.searchsorted(own, values), len(own) - 1)
-            hit = np.flatnonzero(own[place] == values)
-            side = np.zeros((len(bounds) - 1, len(own)), np.float32)
-            side[np.searchsorted(bounds, hit, "right") - 1, place[hit]] = 1
-            sides.append(side)
-        out += sides[0] @ sides[1].T
+    if not len(both):
+        return out.astype(np.int64)
+    sides = []  # the (set, place in both) of each side's shared shingles, by place
+    for values, bounds in (one, other):
+        place = np.minimum(np.searchsorted(both, values), len(both) - 1)
+        hit = np.flatnonzero(both[place] == values)
+        row, place = np.searchsorted(bounds, hit, "right") - 1, place[hit]
+        order = np.argsort(place, kind="stable")
+        sides.append((row[order], place[order], np.bincount(place, minlength=len(both))))
+    times = sides[0][2] * sides[1][2]
+    # shingles of many sets as columns of a product, the others pair by pair
+    often = np.flatnonzero(times > OFTEN)
+    for at in range(0, len(often), COLUMNS):
+        own = often[at : at + COLUMNS]
+        column = np.full(len(both), -1)
+        column[own] = np.arange(len(own))
+        filled = []
+        for (row, place, _), n in zip(sides, out.shape, strict=True):
+            side = np.zeros((n, len(own)), np.float32)
+            held = column[place] >= 0
+            side[row[held], column[place[held]]] = 1
+            filled.append(side)
+        out += filled[0] @ filled[1].T
+    rare = np.flatnonzero(times <= OFTEN)
+    starts = [np.cumsum(counts) - counts for _, _, counts in sides]
+    total = times[rare]
+    of = np.repeat(rare, total)
+    inside = np.arange(len(of)) - np.repeat(np.cumsum(total) - total, total)
+    width = sides[1][2][of]
+    np.add.at(out, (sides[0][0][starts[0][of] + inside // width], sides[1][0][starts[1][of] + inside % width]), 1)
     return out.astype(np.int64)
 
 
