@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -57,8 +59,8 @@ def test_chat_query_reads_its_loss_from_the_examples(spark, tmp_path, monkeypatc
 def brute(rows, k=20):
     ok = {}
     for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) and abs(x) < 1 << 20 for x in v):
-            ok.setdefault(i, []).append([math.floor(64 * x) for x in v])
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+            ok.setdefault(i, []).append([math.floor(64 * Fraction(x)) for x in v])
     out = []
     for q in sorted(i for i in ok if i % 20 == 0):
         best = []
@@ -66,7 +68,7 @@ def brute(rows, k=20):
             scores = [sum(a * b for a, b in zip(x, y, strict=True)) for x in ok[q] for y in vs if len(x) == len(y)]
             if c != q and scores:
                 best.append((-max(scores), c))
-        out += [(q, n, c, -s) for n, (s, c) in enumerate(sorted(best)[:k], 1)]
+        out += [(q, n, c, min(max(-s, -(1 << 63)), (1 << 63) - 1)) for n, (s, c) in enumerate(sorted(best)[:k], 1)]
     return out
 
 
@@ -84,6 +86,7 @@ def test_top_k(spark, seed, monkeypatch):
     monkeypatch.setattr(mtree, "BLOCK_ROWS", 128)
     monkeypatch.setattr(mtree, "PAGE", 16)
     monkeypatch.setattr(mtree, "CHUNK", 16)
+    monkeypatch.setattr(mtree, "CELL_ROWS", 64)
     rows = vectors(seed)
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("label", F.lit(1)).withColumn("score", F.lit("x"))
     got = [tuple(r) for r in mtree.top_k(df.repartition(3)).collect()]
@@ -113,6 +116,40 @@ def test_large_components_are_exact_integers(spark):
     assert sorted(got) == sorted(brute(rows))
 
 
+def test_components_of_any_size_are_exact(spark, monkeypatch):
+    """Wide vectors meet each other and all others; scores beyond a long are ranked by their true value."""
+    monkeypatch.setattr(mtree, "BLOCK_ROWS", 32)
+    monkeypatch.setattr(mtree, "CELL_ROWS", 16)
+    rng = random.Random(5)
+    sizes = (1.0, 1.0, 1.0, 2.0**20, 2.0**21, 2.0**40, 1e30, 1e300, 1.7e308)
+    rows = [(i, [rng.uniform(-1, 1) * rng.choice((1.0, rng.choice(sizes))) for _ in range(rng.choice((2, 3)))]) for i in range(240)]
+    rows += [(300, [1.0, 1.0]), (301, [2.0**21, 0.0]), (302, [1.0, 0.0]), (300, [5.0, 2.0**60])] + [rows[20]] * 40
+    got = [tuple(r) for r in mtree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)).collect()]
+    assert sorted(got) == sorted(brute(rows))
+
+
+def test_order_of_scores_beyond_a_long():
+    scores = [-(10**60), -(1 << 64), -(1 << 63) - 1, -(1 << 63), -(1 << 63) + 1, 0, (1 << 63) - 1, 1 << 63, (1 << 63) + 1, 1 << 70, 10**60]
+    held = [(min(max(s, mtree.LEAST_LONG), mtree.MOST_LONG), mtree.ordered(s)) for s in scores]
+    assert held == sorted(held) and len(set(held)) == len(held)
+
+
+def test_a_query_goes_to_no_cell_that_cannot_reach_its_floor(spark, monkeypatch):
+    monkeypatch.setattr(mtree, "CELL_ROWS", 16)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(8, 6)) * 20
+    rows = [(i, (centres[i % 8] + rng.normal(size=6) * 0.01).tolist()) for i in range(400)]
+    sent, send = [], mtree._send
+    monkeypatch.setattr(mtree, "_send", lambda cells: sent.append(cells) or send(cells))
+    got = [tuple(r) for r in mtree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()]
+    assert sorted(got) == sorted(brute(rows))
+    (cells,) = sent
+    queries = [(np.floor(64 * np.array(v)), i) for i, v in rows if i % 20 == 0]
+    floors = {q: min(s for a, _, _, s in got if a == q) for _, q in queries}
+    visited = [len(cells[6].wanted(v, floors[q])) for v, q in queries]
+    assert max(visited) < len(cells[6].pivots) / 2
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(50, 60), (60, 50), (7, 7), (70, 90), (80, 90), (70, 80)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark), "c").collect()}
