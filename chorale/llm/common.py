@@ -7,6 +7,7 @@ import os
 import re
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +20,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it.
 
-    Only where the session leaves it unset (tests on one machine) a temporary
-    folder is made and set for the session.
+    Only where the session leaves it unset on one machine (tests) a temporary
+    folder is made and set for the session; on a cluster that is an error.
     """
     context = spark.sparkContext
     found = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -28,6 +29,8 @@ def shared_dir(spark: SparkSession) -> str:
         current = context._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="chorale-")
         context.setCheckpointDir(found)
     return found
@@ -47,7 +50,9 @@ BATCH_BYTES = 16 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Lowers the session's bound on Arrow batches; rows of long texts fill the default one many times over."""
+    """Lowers the session's bound on Arrow batches; rows of long texts fill the default one many times over.
+
+    It stays lowered: the plans that are returned run later, and read the setting then."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     number, unit = re.fullmatch(r"(\d+)([kmg]?)b?", spark.conf.get(key).strip().lower()).groups()
     if int(number) << {"": 0, "k": 10, "m": 20, "g": 30}[unit] > BATCH_BYTES:
@@ -116,11 +121,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-#: Rows of two longs that are broadcast at most: about 100 MB as a hashed relation.
-BROADCAST_ROWS = 500_000
+#: Rows that are broadcast at most, about 100 MB as a hashed relation of two longs, and bytes of their strings.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 32 << 20
 
 
 def broadcast_if_small(keys: DataFrame) -> DataFrame:
-    """``keys`` (a few fixed-width columns), marked for broadcast if a count proves it small enough;
-    larger ones are left to a shuffled join."""
-    return F.broadcast(keys) if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else keys
+    """``keys`` (a few columns), marked for broadcast if their rows and the bytes of their strings are counted to be few
+    enough; larger ones are left to a shuffled join."""
+    wide = [F.coalesce(F.octet_length(col(f.name)), F.lit(0)) for f in keys.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    size = F.sum(reduce(Column.__add__, wide).cast("long")) if wide else F.lit(0)
+    rows, size = keys.limit(BROADCAST_ROWS + 1).agg(F.count(F.lit(1)), size).first()
+    return F.broadcast(keys) if rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES else keys
