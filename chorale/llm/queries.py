@@ -153,8 +153,8 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
     formatted = chat.format_conversations(turns)
-    # the replies are read from the strings of the examples, each with all turns before it
-    reply = F.substring("text", F.col("loss_start") + 1, F.col("loss_end") - F.col("loss_start"))
+    # the replies are read from the examples, under their loss masks
+    reply = F.substring("target", F.col("loss_start") + 1, F.col("loss_end") - F.col("loss_start"))
     losses = (
         chat.expand(formatted)
         .select("conv_id", F.struct("example", chat.unescape(reply).alias("reply")).alias("e"))

@@ -35,9 +35,16 @@ def test_chat_examples_are_prefixes(spark):
     df = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string")
     formatted = chat.format_conversations(df)
     whole = {r["conv_id"]: "".join(r["segments"]) for r in formatted.collect()}
-    rows = chat.expand(formatted).collect()
+    rows = chat.with_strings(formatted).collect()
     assert len(rows) == sum(t[2] == "assistant" for t in TURNS)
+    segments = {r["conv_id"]: r["segments"] for r in formatted.collect()}
+    linear = {(r["conv_id"], r["example"]): r for r in chat.expand(formatted).collect()}
+    assert len(linear) == len(rows)
     for r in rows:
+        e = linear[r["conv_id"], r["example"]]
+        context = "".join(segments[r["conv_id"]][: e["context"]])
+        assert context + e["target"] == r["text"]
+        assert (len(context) + e["loss_start"], len(context) + e["loss_end"]) == (r["loss_start"], r["loss_end"])
         assert whole[r["conv_id"]].startswith(r["text"])
         assert r["text"][r["loss_end"] :] == chat.END
         assert r["text"][: r["loss_start"]].endswith(chat.BODY)
@@ -150,6 +157,22 @@ def test_a_query_goes_to_no_cell_that_cannot_reach_its_floor(spark, monkeypatch)
     assert max(visited) < len(cells[6].pivots) / 2
 
 
+def test_chat_runs_no_python(spark, tmp_path, capsys):
+    df = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string")
+    df.write.parquet(f"{tmp_path}/conversations.parquet")
+    queries.op8_chat(spark, str(tmp_path)).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "Generate" in plan
+    assert not any(w in plan for w in ("Python", "Pandas", "Arrow", "MapPartitions", "ExistingRDD"))
+
+
+def test_chat_of_very_long_texts_and_many_turns(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", "<&" * 200_000 if i == 3 else f"t{i}") for i in range(600)]
+    examples = chat.expand(chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))
+    got = examples.select("context", chat.unescape(F.substring("target", F.col("loss_start") + 1, F.col("loss_end") - F.col("loss_start"))).alias("t")).collect()
+    assert sorted((r["context"], r["t"]) for r in got) == [(r[1], r[3]) for r in rows if r[2] == "assistant"]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(50, 60), (60, 50), (7, 7), (70, 90), (80, 90), (70, 80)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark), "c").collect()}
