@@ -5,7 +5,8 @@ form, and takes separators out of words. The lexicon holds word beginnings with
 learnt as log odds from a bounded sample of labelled rows, beside a short seed list;
 phrases that hold a match but are at home in harmless texts are exceptions. The summed
 weights, normalised by the length of the text, give the score through a logistic curve
-fitted on the same sample.
+fitted on texts of the sample that did not choose the lexicon. The lexicon has no bound of
+its own: no stem begins another, so a word of the sample brings one at most.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ STEM_CHARS = range(3, 13)
 LEAST_DOCUMENTS = 5
 LEAST_SHARE = 0.005
 LEAST_LOG_ODDS = 3.0
-MOST_STEMS = 20_000
-MOST_EXCEPTIONS = 10_000
+#: One in so many texts of the sample fits the curve; the others choose the lexicon.
+CURVE_PART = 4
 #: Bytes of text whose stems are counted at once.
 COUNTED_BYTES = 1 << 20
 THRESHOLD = 0.3
@@ -116,7 +117,18 @@ class Matcher:
         for end, (size, weight) in self.automaton.iter(folded):
             start = end - size + 1
             (spared.append((start, end)) if weight is None else found.append((start, weight)))
-        return [(at, w) for at, w in found if not any(i <= at < j for i, j in spared)]
+        if not spared:
+            return found
+        found.sort()
+        spared.sort()
+        out, n, end = [], 0, 0
+        for at, weight in found:
+            while n < len(spared) and spared[n][0] <= at:
+                end = max(end, spared[n][1])
+                n += 1
+            if at >= end:
+                out.append((at, weight))
+        return out
 
     def strength(self, folded: str) -> float:
         total = sum(w for _, w in self.hits(folded))
@@ -163,26 +175,27 @@ def phrases(folded: str, matcher: Matcher) -> set[str]:
     return out
 
 
-def choose_stems(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict[str, float]:
-    """Weights of the stems that mark toxic texts; of stems inside each other, the longest that is
-    held by nearly as many documents as the shorter."""
+def log_odds(t: int, c: int, toxic: int, clean: int) -> float:
+    return math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))
 
-    def odds(t: int, c: int) -> float:
-        return math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))
 
-    good = {s: odds(t, c) for s, (t, c) in counts.items() if t >= max(LEAST_DOCUMENTS, LEAST_SHARE * toxic) and odds(t, c) >= LEAST_LOG_ODDS}
-    longer: dict[str, int] = {}
-    for s in good:
-        for k in range(1, len(s)):
-            longer[s[:k]] = max(longer.get(s[:k], 0), counts[s][0])
-    kept: dict[str, float] = {}
-    for s in sorted(good, key=lambda s: (len(s), s)):
-        if longer.get(s, 0) < 0.9 * counts[s][0] and not any(s[:k] in kept for k in range(1, len(s))):
-            kept[s] = good[s]
+def choose_stems(good: DataFrame) -> DataFrame:
+    """Of stems (key, toxic, clean): of those inside each other, the longest that nearly as many toxic documents hold as
+    the shorter. None that is left begins another."""
+    key = F.col("key")
+    starts = F.transform(F.sequence(F.lit(1), F.char_length(key) - 1), lambda k: key.substr(F.lit(1), k))
+    longer = good.select(F.explode(starts).alias("key"), F.col("toxic").alias("n")).groupBy("key").agg(F.max("n").alias("longer"))
+    last = good.join(longer, "key", "left").where(F.coalesce("longer", F.lit(0)) < 0.9 * F.col("toxic")).drop("longer")
+    inside = last.select("key", F.explode(starts).alias("start")).join(last.select(key.alias("start")), "start", "left_semi")
+    return last.join(inside.select("key").distinct(), "key", "left_anti")
+
+
+def with_seeds(kept: dict[str, float], seen: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict[str, float]:
+    """The weights of the stems, and of the seeds that no stem begins and that are not at home in clean texts."""
     for seed in SEEDS:
         s = fold(seed).strip()
-        t, c = counts.get(s[: STEM_CHARS[-1]], (0, 0))
-        if not any(s[:k] in kept for k in range(1, len(s) + 1)) and not (c and odds(t, c) < 1):
+        t, c = seen.get(s[: STEM_CHARS[-1]], (0, 0))
+        if not any(s[:k] in kept for k in range(1, len(s) + 1)) and not (c and log_odds(t, c, toxic, clean) < 1):
             kept = {k: w for k, w in kept.items() if not k.startswith(s)} | {s: SEED_WEIGHT}
     return kept
 
@@ -206,11 +219,19 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Lexicon:
-    """The lexicon and curve from labelled rows that are not held out; ``labels`` has the id and ``toxic`` (0 or 1)."""
+    """The lexicon and curve from labelled rows that are not held out; ``labels`` has the id and ``toxic`` (0 or 1).
+
+    At most SAMPLE_TOXIC and SAMPLE_CLEAN labelled ids are learnt from; copies of a text count once.
+
+    - Null ids and null labels teach nothing; of several labels of an id the larger holds. Null or empty text: no word.
+    - Texts of any length are read whole, about COUNTED_BYTES at a time. Empty tables: the seeds and a fixed curve.
+    - Other columns of both tables are ignored, whatever they are called.
+    """
+    docs, labels = docs.select(col(id_col).alias("doc"), col(text_col).alias("text")), labels.select(col(id_col).alias("doc"), col("toxic").alias("toxic"))
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    usable = labels.where(F.col("toxic").isin(0, 1) & ~held_out(col(id_col)) & col(id_col).isNotNull())
-    known = usable.groupBy(col(id_col).alias("label_doc")).agg(F.max("toxic").cast("int").alias("toxic"))
+    usable = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc")) & F.col("doc").isNotNull())
+    known = usable.groupBy(F.col("doc").alias("label_doc")).agg(F.max("toxic").cast("int").alias("toxic"))
     first = [
         known.where(F.col("toxic") == y).orderBy(F.xxhash64("label_doc"), "label_doc").limit(n)
         for y, n in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN))
@@ -218,46 +239,58 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = scratch.write(first[0].unionByName(first[1]), "chosen")
     # at most SAMPLE_TOXIC + SAMPLE_CLEAN rows of 12 bytes are broadcast
     sample = (
-        docs.select(col(id_col).alias("label_doc"), col(text_col).alias("text"))
+        docs.withColumnRenamed("doc", "label_doc")
         .join(F.broadcast(chosen), "label_doc")
         .groupBy("toxic", F.xxhash64("text").alias("copy"))
         .agg(F.min("text").alias("text"))  # copies of a text are no further evidence
     )
-    sample = scratch.write(sample, "sample")
-    sizes = dict(sample.groupBy("toxic").count().collect())
+    sample = scratch.write(sample.withColumn("fits", F.pmod("copy", F.lit(CURVE_PART)) == 0), "sample")
+    choosing = sample.where(~F.col("fits"))
+    sizes = dict(choosing.groupBy("toxic").count().collect())
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     schema = "key string, toxic long, clean long"
 
     def summed(run) -> DataFrame:
-        return sample.mapInArrow(run, schema).groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        return choosing.mapInArrow(run, schema).groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
     seeds = [fold(s).strip()[: STEM_CHARS[-1]] for s in SEEDS]
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
-    found = summed(_counts("stems")).where(((F.col("toxic") >= LEAST_DOCUMENTS) & (odds >= LEAST_LOG_ODDS)) | F.col("key").isin(seeds))
-    top = found.orderBy(F.desc("toxic"), "clean", "key").limit(MOST_STEMS).collect()
-    weights = choose_stems({r["key"]: (r["toxic"], r["clean"]) for r in top}, toxic, clean)
+    is_good = (F.col("toxic") >= max(LEAST_DOCUMENTS, LEAST_SHARE * toxic)) & (odds >= LEAST_LOG_ODDS)
+    found = scratch.write(summed(_counts("stems")).withColumn("good", is_good).where(F.col("good") | F.col("key").isin(seeds)), "stems")
+    kept = choose_stems(found.where("good").drop("good")).collect()
+    seen = found.where(F.col("key").isin(seeds)).collect()
+    weights = with_seeds(
+        {r["key"]: log_odds(r["toxic"], r["clean"], toxic, clean) for r in sorted(kept)},
+        {r["key"]: (r["toxic"], r["clean"]) for r in seen}, toxic, clean,
+    )
 
     spared = tuple(fold(p).strip() for p in EXCEPTIONS)
     plain = Lexicon(weights, spared)
     around = summed(lambda batches: _counts("phrases")(batches, plain.matcher()))
-    harmless = around.where((F.col("clean") >= LEAST_DOCUMENTS) & (odds < 0)).orderBy(F.desc("clean"), "key").limit(MOST_EXCEPTIONS)
-    lexicon = Lexicon(weights, tuple(sorted({*spared, *(r["key"] for r in harmless.collect())})))
+    harmless = around.where((F.col("clean") >= LEAST_DOCUMENTS) & (odds < 0)).select("key").collect()
+    lexicon = Lexicon(weights, tuple(sorted({*spared, *(r["key"] for r in harmless)})))
 
     def strengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = lexicon.matcher()
         for part in (p for batch in batches for p in pieces(batch, "text")):
             x = [matcher.strength(fold(t or "")) for t in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), part.column("toxic").cast(pa.float64())], ["x", "y"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), part.column("toxic").cast(pa.float64()), part.column("fits")], ["x", "y", "fits"])
 
-    rows = np.array(sample.select("text", "toxic").mapInArrow(strengths, "x double, y double").collect(), float).reshape(-1, 2)
-    return Lexicon(lexicon.weights, lexicon.exceptions, fit_curve(rows[:, 0], rows[:, 1]))
+    rows = sample.select("text", "toxic", "fits").mapInArrow(strengths, "x double, y double, fits boolean").collect()
+    fitting = [r for r in rows if r["fits"]]
+    if len({r["y"] for r in fitting}) < 2:  # too few for a part of their own
+        fitting = rows
+    x, y = (np.array([r[c] for r in fitting], float) for c in "xy")
+    scratch.keep()
+    return Lexicon(lexicon.weights, lexicon.exceptions, fit_curve(x, y))
 
 
 def score_texts(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: the id, ``score`` (0 to 1) and ``predicted`` (1 from THRESHOLD on).
 
     Only the text is an input of the score. Null or empty text: the score of a text without a match.
-    Repeated rows score alike, null ids pass through; empty table: empty result; other columns are not carried.
+    Texts of any length are read whole, in time linear in their length and matches. Repeated rows score alike, null
+    ids pass through; empty table: empty result; other columns are not carried, whatever they are called.
     """
     has(docs, id_col, text_col)
     small_batches(docs.sparkSession)
