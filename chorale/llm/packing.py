@@ -5,6 +5,10 @@ that scan. Each partition packs its pieces as they come with bounded-space onlin
 best-fit. Bins still open at a partition's end are taken apart and packed again, longest
 pieces first, in rounds, each over the leftovers of ``FAN_IN`` packers, until one packer is
 left. A packer hands at most ``OPEN_BINS`` bins on, the emptiest, so a round's input is bounded.
+
+The rounds depart from the method in one thing: all their bins may stay open, FAN_IN * OPEN_BINS
+at most, which is as many as they took apart. Their pieces are known, so they come longest first,
+and closing the fullest bins before the short pieces come would waste what these fill.
 """
 
 from __future__ import annotations

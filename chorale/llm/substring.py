@@ -11,12 +11,13 @@ One wide row of ``CELLS`` cells a window takes fewer bits here than several narr
 error, because a sparse row costs log2 of the gaps between its cells. Its width follows the input,
 its ranges are merged by different tasks, and no table is collected or broadcast.
 
-Texts are written once, as compressed groups of about ``GROUP_BYTES``; a group is a row, and all
-later passes work on whole groups.
+Texts are written once, as compressed groups of about ``GROUP_BYTES`` (more for very large inputs, see
+``sizes``); a group is a row, and all later passes work on whole groups.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import compress
 
@@ -38,6 +39,10 @@ CELLS = 64
 RANGE_WINDOWS = 1 << 20
 WINDOW_BYTES = 6
 LEAST_RANGES = 32
+#: A group sends a row to each range. So that rows grow with the windows and not with their square, each row has
+#: so many windows at least: beyond (GROUP_BYTES / WINDOW_BYTES) * RANGE_WINDOWS / ROW_WINDOWS windows (about 100 GB)
+#: groups and ranges both grow with the root of the input.
+ROW_WINDOWS = 64
 FLAGS = -1
 
 _HASH = WordHash(0xB16B00)
@@ -64,18 +69,27 @@ def unpack_sorted(data: bytes, dtype) -> np.ndarray:
     return np.cumsum(unpack(data, dtype), dtype=dtype)
 
 
-def ranges(total_bytes: int) -> tuple[int, int]:
-    """Bits of a cell's number and of its range's, from the bytes of all texts."""
+def sizes(total_bytes: int) -> tuple[int, int, int]:
+    """Bytes of a group, bits of a cell's number and of its range's, from the bytes of all texts."""
     windows = max(1, total_bytes // WINDOW_BYTES)
-    parts = max(LEAST_RANGES, -(-windows // RANGE_WINDOWS))
+    grown = max(1.0, math.sqrt(ROW_WINDOWS * windows / (GROUP_BYTES / WINDOW_BYTES * RANGE_WINDOWS)))
+    parts = max(LEAST_RANGES, -(-windows // int(RANGE_WINDOWS * grown)))
     range_bits = (parts - 1).bit_length()
     cell_bits = min(max((CELLS * windows - 1).bit_length(), range_bits + 8), range_bits + 32)
-    return cell_bits, range_bits
+    return int(GROUP_BYTES * grown), cell_bits, range_bits
 
 
-def make_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def make_groups(group_bytes: int):
     """Runs of rows as one row each: number, ids, offsets and compressed text, and the other columns as Arrow data."""
-    release()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        yield from _grouped(batches, group_bytes)
+
+    return run
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], group_bytes: int) -> Iterator[pa.RecordBatch]:
     at = TaskContext.get().partitionId() << 32
     held: list[tuple[pa.RecordBatch, bytes, np.ndarray]] = []
     size = 0
@@ -101,7 +115,7 @@ def make_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for i, j, buf, offsets in chunks(batch.column("text")):
-            if size and size + len(buf) > GROUP_BYTES:
+            if size and size + len(buf) > group_bytes:
                 yield flush()
             held.append((batch.slice(i, j - i), buf.tobytes(), np.diff(offsets)))
             size += len(buf)
@@ -337,6 +351,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     - Ids are integers. Texts of a null id lose nothing and make others lose nothing.
     - Null or empty text, or fewer than 13 words: nothing is removed; null gives ''.
     - Rows that share an id are no smaller document for each other. Empty table: empty result.
+    - A text of any length is read whole; one longer than a group's bytes is a group of its own.
     - Other columns pass through, whatever they are called.
     """
     has(docs, id_col, text_col)
@@ -349,8 +364,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.coalesce(col(text_col), F.lit("")).alias("text"),
     )
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    cell_bits, range_bits = ranges(total)
-    groups = scratch.write(source.mapInArrow(make_groups, GROUPS), "groups")
+    group_bytes, cell_bits, range_bits = sizes(total)
+    groups = scratch.write(source.mapInArrow(make_groups(group_bytes), GROUPS), "groups")
     sketched = groups.mapInArrow(sketch(cell_bits, range_bits), "grp long, part int, cells binary, twice binary")
     masks = sketched.groupBy("part").applyInArrow(merge, "grp long, part int, payload binary")
     rows = "grp long, part int, payload binary, second binary, least binary"
