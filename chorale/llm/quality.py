@@ -1,22 +1,28 @@
 """Quality rules: tokeniser fertility.
 
 Public vocabularies measure each text: code points per token and token entropy by a
-byte-level BPE, the share of byte-fallback pieces by a sentencepiece BPE. The rejection
-bands come from all documents: per language (or script, where the language is null or too few documents have it)
-and size of text, the quartiles of each measure give a median and a robust spread, and a
-text is rejected where a measure leaves ``WIDTH`` spreads. Quartiles are mergeable
-sketches of one row per band key; nothing else leaves the texts' own partitions.
+byte-level BPE, the share of byte-fallback pieces by a sentencepiece BPE. That model gets the
+pre-tokens without the white space around them: it would spell tabs and line ends in bytes,
+which says nothing about a text's language.
+
+The rejection bands come from all documents: per language and size of text, per language, and
+per script and size, the quartiles of each measure give a median and a robust spread, and a text
+is rejected where a measure leaves ``WIDTH`` spreads. The three bands of a text and the fixed
+limits are blended by the number of documents behind each, so that no count switches a band on.
+Quartiles are exact on a grid of ``GRID``: values are counted before they move, and a band has
+as many rows as the grid has values there, never one per document.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chorale.llm.common import Scratch, broadcast_if_small, col, has, spare, text_id
@@ -31,17 +37,17 @@ SYMBOLS = "#*$%&|<>"
 #: share of the median: so that many copies of one text can't shrink a band onto themselves.
 WIDTH = 4.5
 LEAST_SPREAD = 0.03
-#: A band holds only where so many documents made it; elsewhere the band of the script does.
-LEAST_DOCUMENTS = 50
-#: Of the quartiles: their error in ranks is one in so many. With edges rounded to 0.001 the order in which
-#: sketches merge does not show.
-ACCURACY = 100_000
-#: Fixed limits of texts that no band judges: code points per token, share of byte-fallback pieces. The lower one and
-#: the share hold in ``COVERED`` scripts only: in others the vocabularies take clean text to about a token a byte.
+#: A band of n documents weighs n / (n + PRIOR_DOCUMENTS) against the next wider one.
+PRIOR_DOCUMENTS = 10
+#: Decimals of the values that are counted for the quartiles.
+GRID = 3
+#: Fixed limits, the widest band: code points per token, share of byte-fallback pieces. The lower one and the share
+#: hold in ``COVERED`` scripts only: in others the vocabularies take clean text to about a token a byte.
 CHARS_PER_TOKEN = (1.0, 12.0)
 MOST_FALLBACK = 0.5
 COVERED = ("Latin", "none")
-#: Holds in any language: entropy in bits from ``LONG_TOKENS`` tokens on.
+#: Entropy in bits that a text of ``LONG_TOKENS`` tokens or more has in any language; less of a shorter one, in
+#: proportion to the most that so many tokens can have.
 LEAST_ENTROPY = 3.0
 LONG_TOKENS = 256
 #: In the order in which ties are broken; 'Other' is any other letter.
@@ -207,27 +213,49 @@ def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
 BANDED = ("chars_per_token", "fallback_share", "token_entropy")
 
 
-def _bands(measured: DataFrame, prefix: str, *keys: str) -> DataFrame:
-    """Per key: the number of documents, and the median and robust spread of each measure."""
-    quartiles = measured.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(f"{prefix}_n"), *(F.percentile_approx(m, [0.25, 0.5, 0.75], ACCURACY).alias(m) for m in BANDED)
-    )
-    spread = [
-        F.struct(F.round(F.col(m)[1], 3).alias("mid"), F.round((F.col(m)[2] - F.col(m)[0]) / 1.349, 3).alias("spread")).alias(f"{prefix}_{m}") for m in BANDED
-    ]
-    return quartiles.where(F.col(f"{prefix}_n") >= LEAST_DOCUMENTS).select(*keys, f"{prefix}_n", *spread)
+#: The bands of a text from the widest to the narrowest, and what documents have in common in each.
+LEVELS = {"script": ("script", "class"), "lang": ("band",), "own": ("band", "class")}
+
+
+def _grid(sound: DataFrame) -> DataFrame:
+    """How many documents of each band, script and size class have each value of each measure."""
+    values = F.array(*(F.struct(F.lit(m).alias("measure"), (F.round(F.col(m), GRID) + 0.0).alias("value")) for m in BANDED))
+    rows = sound.select("band", "script", "class", F.explode(values).alias("v"))
+    return rows.groupBy("band", "script", "class", "v.measure", "v.value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _bands(grid: DataFrame, level: str) -> DataFrame:
+    """Per key of the level: its weight, and the median and robust spread of each measure. A quartile is the least value
+    that so many documents do not exceed."""
+    keys = LEVELS[level]
+    counts = grid.groupBy(*keys, "measure", "value").agg(F.sum("n").alias("n"))
+    of = Window.partitionBy(*keys, "measure")
+    upto = F.sum("n").over(of.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = counts.withColumn("upto", upto).withColumn("all", F.sum("n").over(of))
+    quartiles = [F.min(F.when(F.col("upto") >= q * F.col("all"), F.col("value"))).alias(f"q{i}") for i, q in enumerate((0.25, 0.5, 0.75))]
+    found = ranked.groupBy(*keys, "measure").agg(F.max("all").alias("n"), *quartiles)
+    spread = F.struct(F.col("q1").alias("mid"), ((F.col("q2") - F.col("q0")) / 1.349).alias("spread"))
+    weight = (F.max("n") / (F.max("n") + PRIOR_DOCUMENTS)).alias(f"{level}_weight")
+    return found.groupBy(*keys).agg(weight, *(F.max(F.when(F.col("measure") == m, spread)).alias(f"{level}_{m}") for m in BANDED))
 
 
-def _band(measure: str) -> Column:
-    """The first band that there is: of the language and size, the language, the script and size; null without any."""
-    return F.coalesce(*(F.col(f"{of}_{measure}") for of in ("own", "lang", "script")))
+def _blended(edge: Callable[[Column], Column], fixed: Column, measure: str) -> Column:
+    """The edge of a text's bands, each blended with what the wider ones give; without any the fixed limit."""
+    out = fixed
+    for level in LEVELS:
+        weight = F.coalesce(f"{level}_weight", F.lit(0.0))
+        out = weight * F.coalesce(edge(F.col(f"{level}_{measure}")), F.lit(0.0)) + (1 - weight) * out
+    return out
 
 
-def _limit(measure: str, widths: float) -> Column:
-    """The edge of the band ``widths`` times its half width from the middle; null rejects nothing."""
-    band = _band(measure)
-    least = F.lit(0.01) if measure == "fallback_share" else LEAST_SPREAD * band["mid"]
-    return band["mid"] + widths * WIDTH * F.greatest(band["spread"], least)
+def _limit(measure: str, widths: float, fixed: Column) -> Column:
+    """The edge ``widths`` times the half width of a band from its middle."""
+
+    def edge(band: Column) -> Column:
+        least = F.lit(0.01) if measure == "fallback_share" else LEAST_SPREAD * band["mid"]
+        return band["mid"] + widths * WIDTH * F.greatest(band["spread"], least)
+
+    return _blended(edge, fixed, measure)
 
 
 def quality_rules(
@@ -242,16 +270,16 @@ def quality_rules(
     - chars_per_token: outside the band of its language (or script) and size class, if the text has
       less than the band's middle of token_entropy too; outside twice the band in any case (names and
       mixed languages fragment too, but into many different tokens);
-    - token_entropy: under the band, or in a long text under the fixed limit of any language;
+    - token_entropy: under the band, or under the fixed limit of any language, which grows with the text;
     - fallback_share: over the band.
 
-    Size classes are powers of 4 of the token count; a class of a language that fewer than 50
-    documents make up takes the language's band over all sizes, and a language of fewer than 50
-    the band of the size class over all documents of the script. Where these are fewer than 50 too,
-    fixed limits of chars_per_token and fallback_share hold, which the script sets. Documents that
+    Size classes are powers of 4 of the token count. An edge is blended from the band of the language and
+    size, that of the language over all sizes, that of the script and size, and fixed limits which the
+    script sets; each weighs n / (n + 10) against the wider ones, n being its documents. Documents that
     fail the base rules make no band.
 
     - Null or empty text: no words, so base_failed. Null language: the commonest script names the band.
+    - Texts of any length are measured whole, and no other column is read or carried, whatever it is called.
     - Null ids pass through; repeated rows are measured and judged alike. Empty table: empty result.
     """
     has(docs, id_col, text_col, *([lang_col] if lang_col else []))
@@ -266,29 +294,24 @@ def quality_rules(
         .withColumn("class", F.floor(F.log2(F.greatest("n_tokens", F.lit(1)).cast("double")) / 2).cast("int"))
     )
     sound = measured.where(~F.col("base_failed"))
-    # a language's rows may be most of the table, so its bands are broadcast where a count allows it;
-    # scripts are 28 and size classes 16 at most
-    own, by_lang = (
-        broadcast_if_small(scratch.write(_bands(sound, name, *keys), f"bands-{name}")) for name, keys in (("own", ("band", "class")), ("lang", ("band",)))
-    )
-    judged = (
-        measured.join(own, ["band", "class"], "left")
-        .join(by_lang, "band", "left")
-        .join(F.broadcast(_bands(sound, "script", "script", "class")), ["script", "class"], "left")
-    )
-    low, high = CHARS_PER_TOKEN
-    free, covered = _band("chars_per_token").isNull(), F.col("script").isin(*COVERED)
-    long = F.col("n_tokens") >= LONG_TOKENS
-    poor = F.col("token_entropy") < _band("token_entropy")["mid"]
-    cpt = F.col("chars_per_token")
-    few = (cpt < _limit("chars_per_token", -2)) | (poor & (cpt < _limit("chars_per_token", -1)))
-    many = (cpt > _limit("chars_per_token", 2)) | (poor & (cpt > _limit("chars_per_token", 1)))
+    grid = scratch.write(_grid(sound), "grid")
+    judged = measured
+    for level, keys in LEVELS.items():  # a language's rows may be most of the table, so its bands are broadcast where their size allows it
+        judged = judged.join(broadcast_if_small(scratch.write(_bands(grid, level), f"bands-{level}")), list(keys), "left")
+    covered = F.col("script").isin(*COVERED)
+    low, high = F.when(covered, CHARS_PER_TOKEN[0]).otherwise(0.0), F.lit(CHARS_PER_TOKEN[1])
+    cpt, entropy = F.col("chars_per_token"), F.col("token_entropy")
+    poor = entropy < _blended(lambda band: band["mid"], F.lit(0.0), "token_entropy")
+    few = (cpt < _limit("chars_per_token", -2, low)) | (poor & (cpt < _limit("chars_per_token", -1, low)))
+    many = (cpt > _limit("chars_per_token", 2, high)) | (poor & (cpt > _limit("chars_per_token", 1, high)))
+    fallback = F.col("fallback_share") > _limit("fallback_share", 1, F.when(covered, MOST_FALLBACK).otherwise(1.0))
+    room = F.least(F.log2(F.greatest("n_tokens", F.lit(1)).cast("double")) / math.log2(LONG_TOKENS), F.lit(1.0))
     reason = (
         F.when(F.col("base_failed"), "base")
-        .when((free & covered & (cpt < low)) | few, "few characters a token")
-        .when((free & (cpt > high)) | many, "many characters a token")
-        .when((free & covered & (F.col("fallback_share") > MOST_FALLBACK)) | (F.col("fallback_share") > _limit("fallback_share", 1)), "byte fallback")
-        .when((long & (F.col("token_entropy") < LEAST_ENTROPY)) | (F.col("token_entropy") < _limit("token_entropy", -1)), "low entropy")
+        .when(few, "few characters a token")
+        .when(many, "many characters a token")
+        .when(fallback, "byte fallback")
+        .when((entropy < LEAST_ENTROPY * room) | (entropy < _limit("token_entropy", -1, F.lit(0.0))), "low entropy")
     )
     return judged.select(
         F.col("id").alias(id_col), F.col("row").alias("text_row"), "lang", *(m.split()[0] for m in MEASURES.split(", ")),

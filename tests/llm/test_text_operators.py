@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
+import time
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
+from decimal import ROUND_HALF_UP, Decimal
 
 import fixtures
 import numpy as np
@@ -54,7 +57,63 @@ def test_quality_measures(docs, library):
             share = np.unique(ids, return_counts=True)[1] / len(ids)
             assert r["chars_per_token"] == pytest.approx(len(t) / len(ids))
             assert r["token_entropy"] == pytest.approx(-(share * np.log2(share)).sum(), abs=1e-9)
-    assert model.get_piece_size() == 32000
+        pieces = [x for w in regex.findall(pretokens.PATTERN, t or "") for x in model.encode(w.strip())]
+        assert r["fallback_share"] == pytest.approx(sum(map(model.is_byte, pieces)) / max(len(pieces), 1))
+
+
+def verdict(rows, r):
+    """The reason by the bands of ``rows``, in plain Python."""
+    band = lambda x: x["lang"] or f"script {x['script']}"
+    size = lambda x: int(math.log2(max(x["n_tokens"], 1)) / 2)
+    sound = [x for x in rows if not x["base_failed"]]
+    same = [
+        [x for x in sound if x["script"] == r["script"] and size(x) == size(r)],
+        [x for x in sound if band(x) == band(r)],
+        [x for x in sound if band(x) == band(r) and size(x) == size(r)],
+    ]
+
+    def blended(measure, edge, fixed):
+        for level in same:
+            values = sorted(float(Decimal(repr(x[measure])).quantize(Decimal("0.001"), ROUND_HALF_UP)) for x in level)
+            if values:
+                q = [values[math.ceil(p * len(values)) - 1] for p in (0.25, 0.5, 0.75)]
+                w = len(values) / (len(values) + 10)
+                fixed = w * edge(q[1], (q[2] - q[0]) / 1.349) + (1 - w) * fixed
+        return fixed
+
+    def limit(measure, widths, fixed):
+        return blended(measure, lambda mid, spread: mid + widths * 4.5 * max(spread, 0.01 if measure == "fallback_share" else 0.03 * mid), fixed)
+
+    covered = r["script"] in ("Latin", "none")
+    cpt, entropy, low = r["chars_per_token"], r["token_entropy"], 1.0 if covered else 0.0
+    poor = entropy < blended("token_entropy", lambda mid, _: mid, 0.0)
+    if r["base_failed"]:
+        return "base"
+    if cpt < limit("chars_per_token", -2, low) or (poor and cpt < limit("chars_per_token", -1, low)):
+        return "few characters a token"
+    if cpt > limit("chars_per_token", 2, 12.0) or (poor and cpt > limit("chars_per_token", 1, 12.0)):
+        return "many characters a token"
+    if r["fallback_share"] > limit("fallback_share", 1, 0.5 if covered else 1.0):
+        return "byte fallback"
+    if entropy < 3 * min(1, math.log2(max(r["n_tokens"], 1)) / 8) or entropy < limit("token_entropy", -1, 0.0):
+        return "low entropy"
+    return None
+
+
+def test_quality_verdicts_are_those_of_the_bands(spark):
+    import random
+
+    rng = random.Random(12)
+    rows = [(i, fixtures.prose(rng, rng.choice((25, 60, 300))), rng.choice(("en", "en", "de", None))) for i in range(150)]
+    rows += [(200 + i, " ".join(rng.choices(text.split(" "), k=60)), lang) for lang, text in CLEAN.items() for i in range(15)]
+    rows += [(400 + i, " ".join(rng.choices("слово qzxj 漢字 \u0378 aa".split(), k=80)), "en") for i in range(12)]
+    rows += [(500 + i, " ".join("".join(rng.choices("xqzjkw0123#$", k=9)) for _ in range(70)), rng.choice(("en", None))) for i in range(6)]
+    rows += [(600, " ".join(rng.choices(("ha", "ho", "hi"), k=40)), "en"), (601, None, None), (602, "", "en")]
+    got = quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string"), BPE, PIECES).collect()
+    want = {r["doc_id"]: verdict(got, r) for r in got}
+    assert {r["doc_id"]: r["reject_reason"] for r in got} == want
+    assert len(set(want.values())) >= 4
+    assert all(r["kept"] == (r["reject_reason"] is None) for r in got)
 
 
 def test_quality_bands_reject_the_odd_one(spark):
@@ -415,6 +474,51 @@ def test_toxicity(spark):
     assert got.where("score < 0 or score > 1").count() == 0
 
 
+def test_matches_are_those_of_a_naive_search():
+    import random
+
+    rng = random.Random(3)
+    lexicon = toxicity.Lexicon({"ab": 1.0, "abc": 2.0, "b": 0.5, "ca": 4.0}, ("ab ca", "b", "ca ab b", "abc abc"))
+    matcher = lexicon.matcher()
+    for _ in range(200):
+        folded = toxicity.fold(" ".join("".join(rng.choices("abc", k=rng.randint(1, 4))) for _ in range(rng.randint(0, 14))))
+        found = [(i, w) for i in range(len(folded)) for s, w in lexicon.weights.items() if folded.startswith(f" {s}", i)]
+        spared = [(i, i + len(p) + 1) for i in range(len(folded)) for p in lexicon.exceptions if folded.startswith(f" {p} ", i)]
+        want = [(at, w) for at, w in found if not any(i <= at < j for i, j in spared)]
+        assert sorted(matcher.hits(folded)) == sorted(want)
+
+
+def test_matching_takes_linear_time():
+    matcher = toxicity.Lexicon({"idiot": 1.0}, ("idiot proof",)).matcher()
+    start = time.perf_counter()
+    folded = toxicity.fold("idiot proof " * 100_000 + "idiot x " * 100_000)
+    assert len(matcher.hits(folded)) == 100_000
+    assert time.perf_counter() - start < 20
+
+
+def test_lexicon_is_that_of_plain_counting(spark):
+    docs, labels = labelled(spark)
+    lexicon = toxicity.learn(docs.withColumn("toxic", F.lit("x")).withColumn("doc", F.lit(1)), labels.withColumn("label_doc", F.lit(2)))
+    known = {r["doc_id"]: r["toxic"] for r in labels.collect() if r["toxic"] is not None and r["doc_id"] is not None}
+    rows = docs.select("doc_id", "text", (F.pmod(F.xxhash64("text"), F.lit(toxicity.CURVE_PART)) == 0).alias("fits")).collect()
+    used = {r["text"]: known[r["doc_id"]] for r in rows if r["doc_id"] in known and not r["fits"] and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2}
+    sizes = Counter(used.values())
+    count = {0: Counter(), 1: Counter()}
+    for text, y in used.items():
+        count[y].update({s for w in toxicity.fold(text).split() for s in toxicity.stems(w)})
+    odds = {s: toxicity.log_odds(n, count[0][s], sizes[1], sizes[0]) for s, n in count[1].items()}
+    good = {s for s, n in count[1].items() if n >= max(5, 0.005 * sizes[1]) and odds[s] >= 3}
+    kept = {}
+    for s in sorted(good, key=lambda s: (len(s), s)):
+        longer = max((count[1][x] for x in good if x != s and x.startswith(s)), default=0)
+        if longer < 0.9 * count[1][s] and not any(s.startswith(x) for x in kept):
+            kept[s] = odds[s]
+    seen = {s: (count[1][s], count[0][s]) for s in {*count[0], *count[1]}}
+    kept = toxicity.with_seeds(kept, seen, sizes[1], sizes[0])
+    assert lexicon.weights == pytest.approx(kept)
+    assert {toxicity.fold(p).strip() for p in toxicity.EXCEPTIONS} <= set(lexicon.exceptions)
+
+
 def test_toxicity_without_labels(spark, docs):
     rows, df = docs
     lexicon = toxicity.learn(df, spark.createDataFrame([], "doc_id long, toxic int"))
