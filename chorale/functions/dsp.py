@@ -62,6 +62,11 @@ def smooth_reflect(x: np.ndarray, n: int) -> np.ndarray:
     return np.convolve(np.pad(x, (before, n - 1 - before), mode="symmetric"), np.ones(n) / n, mode="valid")
 
 
+def weighted_percentile(weights: np.ndarray, at: np.ndarray, percent: float) -> float:
+    """The place below which ``percent`` of the weight lies, between places by straight lines."""
+    return float(np.interp(percent / 100, np.cumsum(weights / weights.sum()), at))
+
+
 def stft(x: np.ndarray, n_fft: int, hop: int) -> np.ndarray:
     window = np.hanning(n_fft + 1)[:-1]
     return np.fft.rfft(frames(x, n_fft, hop) * window, axis=1).T
@@ -110,16 +115,12 @@ def bandpass_mask(x: np.ndarray, rate: int, events: list[tuple[float, float]], s
         shape = smooth_reflect(collapse(power[:, first:last], axis=1), s.smooth_bins)
         if shape.sum() <= 0:
             continue
-        share = np.cumsum(shape / shape.sum())
-        low, high = (float(np.interp(p / 100, share, hz)) for p in (s.low_percent, s.high_percent))
+        low, high = (weighted_percentile(shape, hz, p) for p in (s.low_percent, s.high_percent))
         bounds.append((float(start), float(end), low, high))
         lo, hi = (min(int(np.searchsorted(hz, f)), len(hz) - 1) for f in (low, high))
-        column = np.zeros(len(hz))
-        column[lo : hi + 1] = 1
-        for k in range(1, s.edge_bins + 1):
-            for at in (lo - k, hi + k):
-                if 0 <= at < len(hz):
-                    column[at] = max(column[at], (s.edge_bins - (k - 1)) / (s.edge_bins + 1))
+        bins = np.arange(len(hz))
+        outside = np.maximum(np.maximum(lo - bins, bins - hi), 0)
+        column = np.maximum(1 - outside / (s.edge_bins + 1), 0)
         mask[:, first:last] = np.maximum(mask[:, first:last], column[:, None])
     return istft(spectrum * mask, s.n_fft, hop, len(x)), bounds
 

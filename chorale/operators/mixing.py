@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import hashlib
 import random
-from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from chorale.config import Mix
 
@@ -155,36 +157,42 @@ RENDERED = (
 )
 
 
+#: Mixtures that are rendered in one group: enough to spread its cost, few enough to hold their signals.
+RENDERED_AT_ONCE = 8
+
+
 def render(members: DataFrame, groups: list[str], length: int, rate: int, seed: int, ratio: float) -> DataFrame:
     """Of member rows (groups, mix_idx, degree, place, level_dbfs, noise_dbfs, mix_dbfs, signal, bounds, noise): one row
-    per mixture. bounds: [start s, end s, ...] of a member's calls; without any it is measured whole and never moved."""
+    per mixture. bounds: [start s, end s, ...] of a member's calls; without any it is measured whole and never moved.
+    Only the first member's noise is used, so only that moves."""
     kinds = ", ".join(f"{g} {members.schema[g].dataType.simpleString()}" for g in groups)
+    names = [*groups, *(c.split()[0] for c in RENDERED.split(", "))]
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("place")
-        first = rows.iloc[0]
+    def mixture(rows: list[dict]) -> dict:
+        first = rows[0]
         placed = []
-        for r in rows.itertuples():
-            bounds = [[float(v) for v in b] for b in ([] if r.bounds is None else r.bounds)]
-            own = batch_seed(seed, *(first[g] for g in groups), r.mix_idx, r.place)
-            placed.append(place(np.asarray(r.signal, float), bounds, r.level_dbfs, rate, length, ratio, own))
-        made = mix_signals([p["signal"] for p in placed], np.asarray(first["noise"], float), first["noise_dbfs"], first["mix_dbfs"])
-        values = {g: first[g] for g in [*groups, "mix_idx", "degree", "noise_dbfs", "mix_dbfs"]}
-        values |= {k: v.tolist() if isinstance(v, np.ndarray) else v for k, v in made.items()}
+        for r in rows:
+            own = batch_seed(seed, *(first[g] for g in groups), r["mix_idx"], r["place"])
+            placed.append(place(r["signal"], r["bounds"] or [], r["level_dbfs"], rate, length, ratio, own))
+        made = mix_signals([p["signal"] for p in placed], first["noise"], first["noise_dbfs"], first["mix_dbfs"])
+        values = {g: first[g] for g in [*groups, "mix_idx", "degree", "noise_dbfs", "mix_dbfs"]} | made
         values |= {k: [p[k] for p in placed] for k in ("event_rms", "norm_gain", "gain")}
-        values |= {"relative_dbfs": rows["level_dbfs"].tolist(), "shifted_bounds": [p["bounds"] for p in placed]}
-        return pd.DataFrame({k: [v] for k, v in values.items()})
-
-    return members.groupBy(*groups, "mix_idx").applyInPandas(run, f"{kinds}, {RENDERED}")
-
-
-def iterate(rows: Iterator, n: int) -> Iterator[list]:
-    """Runs of ``n`` rows of an iterator."""
-    held = []
-    for row in rows:
-        held.append(row)
-        if len(held) == n:
-            yield held
-            held = []
-    if held:
-        yield held
+        return values | {"relative_dbfs": [r["level_dbfs"] for r in rows], "shifted_bounds": [p["bounds"] for p in placed]}
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("mix_idx", "ascending"), ("place", "ascending")])
+        plain = table.drop_columns(["signal", "noise"]).to_pylist()
+        for i, row in enumerate(plain):
+            row["signal"] = np.asarray(table.column("signal")[i].values, float)
+            noise = table.column("noise")[i]
+            row["noise"] = np.asarray(noise.values, float) if noise.is_valid else None
+        made = [mixture(list(rows)) for _, rows in groupby(plain, key=lambda r: r["mix_idx"])]
+        return pa.table({n: [m[n] for m in made] for n in names}, schema=schema)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    schema = to_arrow_schema(StructType.fromDDL(f"{kinds}, {RENDERED}"))
+    wanted = [*groups, "mix_idx", "degree", "place", "level_dbfs", "noise_dbfs", "mix_dbfs", "signal", "bounds"]
+    moved = members.select(*wanted, F.when(F.col("place") == 0, F.col("noise")).alias("noise"))
+    return moved.groupBy(*groups, F.floor(F.col("mix_idx") / RENDERED_AT_ONCE)).applyInArrow(run, f"{kinds}, {RENDERED}")

@@ -32,6 +32,23 @@ def frequent_classes(df: DataFrame, label: str, least: int) -> tuple[DataFrame,
     return counts.where(F.col("n") >= least), counts.where(F.col("n") < least)
 
 
+#: Numbers of one array when rows are numbered.
+NUMBERS = 1 << 16
+
+
+def numbered(df: DataFrame, n: Column, name: str) -> DataFrame:
+    """Each row ``n`` times, with ``name`` from 0. Runs of NUMBERS are dealt before they are written out, so that
+    neither one array nor one task holds all of a row's numbers."""
+    runs = df.withColumn("_n_rows", n.cast("bigint")).where("_n_rows > 0")
+    runs = runs.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n_rows") - 1) / NUMBERS))))
+    first = F.col("_run") * NUMBERS
+    return (
+        runs.repartition("_run", *df.columns)
+        .withColumn(name, F.explode(F.sequence(first, F.least(first + NUMBERS, F.col("_n_rows")) - 1)))
+        .drop("_n_rows", "_run")
+    )
+
+
 def undersample(df: DataFrame, key: str, label: str, seed: int) -> DataFrame:
     """As many rows of each class as the smallest class has, without replacement."""
     by = ranked(df, [F.col(label)], [order_key(seed, F.col(key)), F.col(key)])
@@ -44,7 +61,7 @@ def oversample(df: DataFrame, key: str, label: str, seed: int) -> DataFrame:
     by = ranked(df, [F.col(label)], [F.col(key)])
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     target = counts.agg(F.max("_n").alias("_target"))
-    wanted = counts.join(F.broadcast(target)).select(label, "_n", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_target") - 1)).alias("draw"))
+    wanted = numbered(counts.join(F.broadcast(target)), F.col("_target"), "draw")
     drawn = wanted.select(label, "draw", (draw(seed, F.col("_n"), F.col(label), F.col("draw")) + 1).alias("rank"))
     return drawn.join(by.drop("rank_count"), [label, "rank"]).select(*df.columns, "draw")
 
@@ -62,7 +79,7 @@ def capped_sample(df: DataFrame, key: str, label: str, file: str, seed: int, per
     pool = ranked(pool.select(*df.columns), [F.col(label)], [order_key(seed + 1, F.col(key)), F.col(key)], "at")
     enough = pool.where((F.col("at_count") >= target) & (F.col("at") <= target)).select(*df.columns, (F.col("at") - 1).alias("draw"))
     small = pool.where(F.col("at_count") < target).groupBy(label).agg(F.max("at_count").alias("_n"))
-    wanted = small.select(label, "_n", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(target - 1).cast("bigint"))).alias("draw"))
+    wanted = numbered(small, F.lit(target), "draw")
     drawn = wanted.select(label, "draw", (draw(seed, F.col("_n"), F.col(label), F.col("draw")) + 1).alias("at"))
     again = drawn.join(pool.drop("at_count"), [label, "at"]).select(*df.columns, "draw")
     return enough.unionByName(again)
@@ -71,14 +88,21 @@ def capped_sample(df: DataFrame, key: str, label: str, file: str, seed: int, per
 def balance(df: DataFrame, key: str, label: str, file: str, seed: int, method: str, per_file: int | None, least: int) -> DataFrame:
     """The classes with at least ``least`` rows, balanced by the method: undersample, oversample or controlled_oversample.
     A row that is drawn more than once is there as often, told apart by ``draw`` (0 throughout if undersampled)."""
-    kept, _ = frequent_classes(df, label, least)
+    return balance_and_removed(df, key, label, file, seed, method, per_file, least)[0]
+
+
+def balance_and_removed(
+    df: DataFrame, key: str, label: str, file: str, seed: int, method: str, per_file: int | None, least: int
+) -> tuple[DataFrame, DataFrame]:
+    """``balance``, and (class, n) of the classes that were removed because they have too few rows."""
+    kept, removed = frequent_classes(df, label, least)
     df = df.join(kept.select(label), label, "left_semi")
     if method == "undersample":
-        return undersample(df, key, label, seed).withColumn("draw", F.lit(0).cast("bigint"))
+        return undersample(df, key, label, seed).withColumn("draw", F.lit(0).cast("bigint")), removed
     if method == "oversample":
-        return oversample(df, key, label, seed)
+        return oversample(df, key, label, seed), removed
     if method == "controlled_oversample":
-        return capped_sample(df, key, label, file, seed, per_file)
+        return capped_sample(df, key, label, file, seed, per_file), removed
     raise ValueError(f"method {method!r} is none of undersample, oversample, controlled_oversample")
 
 
@@ -117,5 +141,3 @@ def batches(df: DataFrame, order: list[Column], rows: int) -> DataFrame:
     """``df`` with ``batch_idx``: runs of ``rows`` rows of the order."""
     out = ranked(df, [], order)
     return out.withColumn("batch_idx", F.floor((F.col("rank") - 1) / rows)).drop("rank", "rank_count")
-
-

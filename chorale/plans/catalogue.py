@@ -10,10 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorale.config import Mix
+from chorale.config import Config, Mix, Separation
 from chorale.functions import dsp, hashing, intervals, names, signal, times
 from chorale.operators import audio, detections, events, flatten, lookup, mixing, models, noise, sampling
+from chorale import schemas, session
+from chorale.plans import stages
 from chorale.plans.oracles import ORACLE_SQL
+from chorale.sources import readers, sinks
+from chorale.streaming import events as streams
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
@@ -32,7 +36,7 @@ def query(f):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return readers.table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def timed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -425,12 +429,13 @@ def elementwise_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def event_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audio.envelope(signals(spark, sf_dir), "vec_id", "x", 4, 1)
+    return audio.envelope(signals(spark, sf_dir), "vec_id", "x", 4, 1).select("vec_id", "n_frames", rounded(F.col("envelope")).alias("envelope"))
 
 
 @query
 def event_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audio.event_bounds(signals(spark, sf_dir), "vec_id", "x", RATE, SLOW_EVENTS)
+    found = audio.event_bounds(signals(spark, sf_dir), "vec_id", "x", RATE, SLOW_EVENTS)
+    return found.select("vec_id", F.posexplode("events").alias("event", "e")).select("vec_id", "event", "e.start", "e.end")
 
 
 @query
@@ -440,12 +445,13 @@ def stft_bandpass(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def resample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audio.resampled(signals(spark, sf_dir), "vec_id", "x", RATE, 24)
+    return audio.resampled(signals(spark, sf_dir), "vec_id", "x", RATE, 24).select("vec_id", rounded(F.col("resampled")).alias("resampled"))
 
 
 @query
 def encode_wav(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audio.encoded(signals(spark, sf_dir), "vec_id", "x", RATE)
+    found = audio.encoded(signals(spark, sf_dir), "vec_id", "x", RATE)
+    return found.select("vec_id", F.octet_length("bytes").alias("n_bytes"), F.sha2(F.lower(F.hex("bytes")), 256).alias("hex_sha256"))
 
 
 @query
@@ -461,11 +467,200 @@ def fake_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def validated_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recordings are labels, sources their vectors."""
-    found = models.detect(signals(spark, sf_dir, "label"), ["vec_id", "label"], "x", RATE, models.LevelDetector)
-    names_ = spark.range(4).select(F.col("id").cast("int").alias("code"), F.element_at(F.array(*map(F.lit, models.LevelDetector.NAMES)), F.col("id").cast("int") + 1).alias("name"))
-    sources = found.select(F.col("label").alias("recording_id"), F.col("vec_id").alias("source_idx"), "detections", F.array(*(((F.col("label") + k) % 4) for k in (0, 1))).alias("codes"))
-    return detections.validated_sources(sources, names_, 0.2, 0.1)
+    """Recordings are users, their sources the events by id modulo 4, detections the events with their value as confidence.
+    Codes number the event types in order; a recording has two."""
+    all_events = table(spark, sf_dir, "events")
+    detection = F.struct("ts", "event_id", F.col("event_type").alias("name"), F.col("value").alias("confidence"))
+    sources = all_events.groupBy(F.col("user_id").alias("recording_id"), (F.col("event_id") % 4).alias("source_idx")).agg(F.array_sort(F.collect_list(detection)).alias("detections"))
+    sources = sources.withColumn("codes", F.array(F.col("recording_id") % 5, (F.col("recording_id") + 2) % 5))
+    types = all_events.agg(F.array_sort(F.collect_set("event_type")).alias("types"))  # a few names
+    names_ = types.select(F.posexplode("types").alias("code", "name")).select(F.col("code").cast("bigint").alias("code"), "name")
+    return detections.validated_sources(sources, names_, 20.0, 0.3, "any", "most_detections")
+
+
+@query
+def segment_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of 1 s that meet an event and no detection of another name; the signal stands for its masked form."""
+    t = F.col("label") / 4.0
+    span = lambda s, e: (s.alias("start"), e.alias("end"))
+    found = F.array(
+        F.struct(F.lit("target").alias("name"), F.lit(0.9).alias("confidence"), *span(F.lit(0.25), F.lit(3.5))),
+        F.struct(F.when(F.col("label") % 2 == 0, "target").otherwise("other").alias("name"), F.lit(0.5).alias("confidence"), *span(t, t + 0.5)),
+    )
+    events_ = F.array(F.struct(*span(F.lit(0.5), F.lit(1.0))), F.struct(*span(t, t + 1.25)))
+    bounds = F.transform(events_, lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end"), F.lit(1.0).alias("f_low"), F.lit(4.0).alias("f_high")))
+    masked = signals(spark, sf_dir, "label").select(
+        "vec_id", F.col("x").alias("masked"), found.alias("detections"), F.lit("target").alias("name"), events_.alias("events"), bounds.alias("bounds")
+    )
+    out = stages.windows(masked, RATE, RATE, RATE // 4)
+    flat = F.flatten(F.transform("time_freq_bounds", lambda b: b.cast("array<double>")))
+    return out.select("vec_id", "c.segment", "c.start", "c.end", rounded(F.col("c.samples")).alias("samples"), flat.alias("bounds"))
+
+
+@query
+def truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """To 2 s around the labelled times, or where most energy is."""
+    recordings = signals(spark, sf_dir, "label").select(
+        "vec_id", F.col("x").alias("samples"), F.when(F.col("label") % 3 == 1, F.col("label") / 4.0).alias("start_time"),
+        F.when(F.col("label") % 4 == 1, F.col("label") / 4.0 + 0.5).alias("end_time"),
+    )
+    out = stages.truncate(recordings, RATE, Config(separation=Separation(max_duration_s=2.0)))
+    return out.select("vec_id", rounded(signal.doubles(F.col("samples"))).alias("samples"))
+
+
+@query
+def long_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signals of at least 32 samples, of those cut to 8, 16, ... by label."""
+    cut = signals(spark, sf_dir, "label").select("vec_id", F.slice("x", 1, F.col("label") * 8 + 8).alias("x"))
+    return cut.where(F.size("x") >= signal.num_samples(F.lit(2), F.lit(RATE))).select("vec_id", F.size("x").alias("n"))
+
+
+@query
+def mono_float(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two halves of a signal as channels, their mean as single precision."""
+    out = audio.map_signals(signals(spark, sf_dir), "vec_id", "x", "mono array<float>", lambda x: (dsp.mono(x.reshape(2, -1)).astype("float32"),))
+    return out.select("vec_id", F.transform("mono", lambda v: v.cast("double")).alias("mono"))
+
+
+@query
+def smoothed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = audio.map_signals(signals(spark, sf_dir), "vec_id", "x", "smooth array<double>", lambda x: (dsp.smooth_reflect(x, 5),))
+    return out.select("vec_id", rounded(F.col("smooth")).alias("smooth"))
+
+
+@query
+def weighted_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The places between which 90 % of a signal's absolute values lie."""
+
+    def work(x):
+        weights, at = abs(x), [i / 4 for i in range(len(x))]
+        return tuple(dsp.weighted_percentile(weights, at, p) for p in (5, 95))
+
+    out = audio.map_signals(signals(spark, sf_dir), "vec_id", "x", "low double; high double", work)
+    return out.select("vec_id", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))
+
+
+@query
+def same_species(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = table(spark, sf_dir, "part")
+    padded = F.concat(F.lit(" "), F.initcap("p_name"), F.lit(" "))
+    other = F.when(F.col("p_size") % 3 == 0, F.lit(None)).when(F.col("p_size") % 3 == 1, F.col("p_type")).otherwise(F.col("p_brand"))
+    return parts.select("p_partkey", lookup.same_species(F.col("p_name"), F.col("p_type"), padded, other).alias("same"))
+
+
+@query
+def removed_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sources balanced to the smallest that has 60 rows or more, and the classes removed."""
+    kept, removed = sampling.balance_and_removed(_documents(spark, sf_dir), "doc_id", "source", "lang", SEED, "undersample", None, 60)
+    sizes = kept.groupBy("source").agg(F.count(F.lit(1)).alias("n")).withColumn("removed", F.lit(False))
+    return sizes.unionByName(removed.withColumn("removed", F.lit(True)))
+
+
+@query
+def noise_and_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _documents(spark, sf_dir), table(spark, sf_dir, "labels").select("doc_id", F.lit(1).alias("known"))
+    marked = docs.join(labels, "doc_id", "left")
+    noise_, test = sampling.noise_and_test(marked, F.col("known").isNull(), "doc_id", SEED)
+    return noise_.select("doc_id", F.lit("noise").alias("part")).unionByName(test.select("doc_id", F.lit("test").alias("part")))
+
+
+# schemas, sources and sinks
+
+
+@query
+def flattened_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = schemas.flattened("raw_files", schemas.SEGMENTS).fields
+    return spark.createDataFrame([(i, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)], "position int, name string, type string")
+
+
+@query
+def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A limit is the feature here."""
+    orders = schemas.require(table(spark, sf_dir, "orders"), "o_orderkey", "o_custkey")
+    return readers.limited(orders.select("o_orderkey", "o_custkey"), "o_orderkey", 100)
+
+
+@query
+def empty_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = "array<struct<name:string,confidence:double,start:double,end:double>>"
+    out = readers.with_empty(_documents(spark, sf_dir).drop("lang"), "detections", kind)
+    return out.select("doc_id", "source", F.size("detections").alias("n_detections"), F.get("detections", F.lit(0))["name"].isNull().alias("no_name"))
+
+
+@query
+def forced_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read with a schema that the file's columns do not all have: what is missing is null."""
+    kind = schemas.StructType.fromDDL("n_nationkey int, n_name string, n_code string")
+    return readers.table(spark, f"{sf_dir}/nation.parquet", kind)
+
+
+@query
+def split_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written by split, a table beside it replaced, and read back without its empty splits."""
+    path = session.shared_path(spark, "splits")
+    parts = sampling.split(_documents(spark, sf_dir), "doc_id", 0.1, 0.0)
+    sinks.write(parts, path, "split")
+    sinks.replace(readers.table(spark, path).where("doc_id % 3 <> 0"), path, split="split")
+    found = readers.valid_splits(spark, path)
+    rows = [df.select("doc_id", F.lit(name).alias("split")) for name, df in found.items()]
+    return rows[0].unionByName(rows[1]) if len(rows) > 1 else rows[0]
+
+
+@query
+def published_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = session.shared_path(spark, "published")
+    parts = sampling.split(_documents(spark, sf_dir), "doc_id", 0.1, 0.1)
+    found = sinks.manifest(readers.table(spark, sinks.publish(parts, path, "HSN", balanced=True)), ["doc_id", "lang", "split"])
+    row = (found["num_rows"], found["fingerprint"], ",".join(sorted(found["columns"])), found["features"]["doc_id"])
+    return spark.createDataFrame([row], "num_rows long, fingerprint long, columns string, doc_id_type string")
+
+
+@query
+def code_map_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes written as JSON and a taxonomy as CSV, read back and joined without regard to case."""
+    path = session.shared_path(spark, "codes")
+    nations = table(spark, sf_dir, "nation")
+    labels = nations.agg(F.map_from_entries(F.collect_list(F.struct(F.col("n_nationkey").cast("string"), F.lower("n_name")))).alias("id2label"))
+    labels.select(F.to_json(F.struct("id2label")).alias("value")).coalesce(1).write.text(f"{path}/json")
+    named = nations.select(F.upper("n_name").alias("SPECIES_CODE"), F.concat("n_name", F.lit(" bird")).alias("PRIMARY_COM_NAME"), F.concat(F.lit("Avis "), "n_name").alias("SCI_NAME"))
+    named.coalesce(1).write.option("header", True).csv(f"{path}/csv")
+    return lookup.code_names(readers.code_map(spark, f"{path}/json", "HSN"), readers.taxonomy(spark, f"{path}/csv"), ["position"])
+
+
+# streams: each runs over all events and leaves its result as a table
+
+
+def _streamed(spark: SparkSession, sf_dir: str, make, mode: str = "complete") -> DataFrame:
+    path = session.shared_path(spark, "stream")
+    schema = table(spark, sf_dir, "events").schema
+    stream = streams.read(spark, f"{sf_dir}/events*.parquet", schema).withColumn("ts", F.col("ts").cast("timestamp"))
+    streams.kept_table(make(stream), f"{path}/table", f"{path}/checkpoint", mode)
+    return spark.read.parquet(f"{path}/table")
+
+
+def _windows(found: DataFrame, *more: str) -> DataFrame:
+    return found.select("user_id", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "n", *more)
+
+
+@query
+def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _windows(_streamed(spark, sf_dir, lambda e: streams.counts(e, "ts", "user_id", "12 hours")), "most")
+
+
+@query
+def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _windows(_streamed(spark, sf_dir, lambda e: streams.counts(e, "ts", "user_id", "12 hours", "6 hours")), "most")
+
+
+@query
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _windows(_streamed(spark, sf_dir, lambda e: streams.sessions(e, "ts", "user_id", "6 hours")))
+
+
+@query
+def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _streamed(spark, sf_dir, lambda e: streams.totals(e, "user_id", "value"), "update")
+    return found.select("user_id", "n", F.round("total", 4).alias("total"))
 
 
 def _assigned(spark: SparkSession, sf_dir: str) -> DataFrame:

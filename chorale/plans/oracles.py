@@ -18,6 +18,11 @@ def _draw(seed: str, n: str, *parts: str) -> str:
     return f"(CAST('0x' || substr({_key(seed, *parts)}, 1, 8) AS BIGINT) % {n})"
 
 
+def _fingerprint(*columns: str) -> str:
+    parts = ", ".join(f"coalesce(length({c}::VARCHAR) || ':' || {c}::VARCHAR, 'null')" for c in columns)
+    return f"(sum(CAST('0x' || substr(md5(concat_ws('|', {parts})), 1, 15) AS BIGINT)) % {(1 << 61) - 1})::BIGINT"
+
+
 _X = "(SELECT vec_id, label, list_transform(embedding, lambda v: v::DOUBLE) AS x FROM embeddings)"
 _RMS = "sqrt(list_sum(list_transform({0}, lambda v: v * v)) / len({0}))"
 
@@ -191,8 +196,7 @@ SELECT l_orderkey, list(l_partkey ORDER BY l_linenumber, l_partkey, l_suppkey, l
        list(l_returnflag ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS raw_files_l_returnflag FROM lineitem GROUP BY l_orderkey
 """,
     "dataset_fingerprint": """
-SELECT count(*) AS num_rows, sum(CAST('0x' || substr(md5(concat_ws('|', o_orderkey::VARCHAR, o_custkey::VARCHAR,
-       coalesce(o_orderstatus, '\\N'), coalesce(o_orderpriority, '\\N'))), 1, 8) AS BIGINT))::BIGINT AS fingerprint FROM orders
+SELECT count(*) AS num_rows, """ + _fingerprint("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority") + """ AS fingerprint FROM orders
 """,
     "clip_rms": f"SELECT vec_id, round({_RMS.format('x')}, 6) AS rms FROM {_X}",
     "rms_with_bounds": f"""
@@ -259,4 +263,127 @@ WITH l AS (SELECT label, generate_subscripts(x, 1) AS i, unnest(x) AS v FROM {_X
 s AS (SELECT label, i, round(sum(v), 4) AS v FROM l GROUP BY label, i)
 SELECT label, list(v ORDER BY i) AS x FROM s GROUP BY label
 """,
+    "event_envelope": f"""
+SELECT vec_id, 65 AS n_frames, list_transform(range(0, 65), lambda i: round(sqrt(list_sum(list_transform(x[greatest(i - 1, 1) : least(i + 2, 64)], lambda v: v * v)) / 4), 6) + 0.0) AS envelope
+FROM {_X}
+""",
+    "event_bounds": f"""
+WITH e AS (
+  SELECT vec_id, list_transform(range(0, 65), lambda i: sqrt(list_sum(list_transform(x[greatest(i - 1, 1) : least(i + 2, 64)], lambda v: v * v)) / 4)) AS e FROM {_X}
+), l AS (
+  SELECT vec_id, list_transform(range(0, 65), lambda i: (e[i + 1] + CASE WHEN i > 0 THEN e[i] ELSE 0 END) / 2) AS l FROM e
+), m AS (SELECT vec_id, generate_subscripts(l, 1) - 1 AS i, unnest(l) > 0.5 * list_max(l) AS m FROM l),
+c AS (SELECT *, coalesce(lag(m) OVER (PARTITION BY vec_id ORDER BY i), false) AS before FROM m),
+k AS (SELECT *, sum((m <> before)::INT) OVER (PARTITION BY vec_id ORDER BY i) AS k FROM c),
+r AS (SELECT vec_id, min(i) AS s, least(max(i) + 1, 64) AS e FROM k WHERE m GROUP BY vec_id, k),
+g AS (SELECT *, coalesce((s - lag(e) OVER (PARTITION BY vec_id ORDER BY s)) / 16.0 > 0.1, true) AS new FROM r),
+n AS (SELECT *, sum(new::INT) OVER (PARTITION BY vec_id ORDER BY s) AS n FROM g),
+o AS (SELECT vec_id, min(s) AS s, max(e) AS e FROM n GROUP BY vec_id, n HAVING (max(e) - min(s)) / 16.0 >= 0.05)
+SELECT vec_id, (row_number() OVER (PARTITION BY vec_id ORDER BY s) - 1)::INTEGER AS event, s / 16.0::DOUBLE AS start, e / 16.0::DOUBLE AS "end" FROM o
+""",
+    "resample": f"""
+WITH h AS (
+  SELECT list(h ORDER BY m) AS h FROM (
+    SELECT m, list((1 + 2 * list_sum(list_transform(range(1, 33), lambda k: cos(2 * pi() * k * (m / 96.0::DOUBLE - n / 64.0::DOUBLE))))) / 64 ORDER BY n) AS h
+    FROM (SELECT unnest(range(96)) AS m), (SELECT unnest(range(64)) AS n) GROUP BY m)
+)
+SELECT vec_id, list_transform(h, lambda w: round(list_inner_product(w, x), 6) + 0.0) AS resampled FROM {_X}, h
+""",
+    "encode_wav": f"""
+WITH p AS (SELECT vec_id, x, greatest(list_max(x), -list_min(x)) AS p FROM {_X}),
+i AS (SELECT vec_id, list_transform(x, lambda v: (round_even(greatest(-1, least(1, CASE WHEN p > 1 THEN v / p ELSE v END)) * 32767, 0)::INTEGER + 65536) % 65536) AS i FROM p)
+SELECT vec_id, 172 AS n_bytes, sha256(
+  '52494646a400000057415645666d7420100000000100010010000000200000000200100064617461' || '80000000' ||
+  list_aggregate(list_transform(i, lambda u: printf('%02x%02x', u % 256, u // 256)), 'string_agg', '')) AS hex_sha256 FROM i
+""",
+    "validated_sources": """
+WITH c AS (
+  SELECT user_id, event_id % 4 AS source, event_type, count(*) AS n, min((ts, event_id)) AS f FROM events WHERE value > 20 GROUP BY ALL
+), r AS (
+  SELECT *, sum(n) OVER (PARTITION BY user_id, source)::BIGINT AS total, row_number() OVER (PARTITION BY user_id, source ORDER BY n DESC, f) AS k FROM c
+), t AS (SELECT event_type, row_number() OVER (ORDER BY event_type) - 1 AS code FROM (SELECT DISTINCT event_type FROM events WHERE event_type IS NOT NULL))
+SELECT user_id AS recording_id, source AS source_idx, event_type AS name, code, n, total FROM r JOIN t USING (event_type)
+WHERE k = 1 AND n / total >= 0.3 AND code IN (user_id % 5, (user_id + 2) % 5)
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY n DESC, source) = 1
+""",
+    "segment_windows": f"""
+WITH w AS (SELECT vec_id, x, label, label / 4.0::DOUBLE AS t, unnest([0, 16, 32, 48]) AS s FROM {_X}),
+v AS (SELECT *, s / 16.0::DOUBLE AS a, s / 16.0::DOUBLE + 1 AS b FROM w)
+SELECT vec_id, (s // 16)::INTEGER AS segment, s AS start, s + 16 AS "end", {_rounded('x[s + 1 : s + 16]')} AS samples,
+       list_concat(CASE WHEN b > 0.5 AND a < 1.0 THEN [greatest(0.5, a) - a, least(1.0, b) - a, 1.0, 4.0] ELSE [] END::DOUBLE[],
+                   CASE WHEN b > t AND a < t + 1.25 THEN [greatest(t, a) - a, least(t + 1.25, b) - a, 1.0, 4.0] ELSE [] END::DOUBLE[]) AS bounds
+FROM v WHERE ((b > 0.5 AND a < 1.0) OR (b > t AND a < t + 1.25))
+  AND ((b > 0.25 AND a < 3.5) OR (b > t AND a < t + 0.5)) AND NOT (label % 2 <> 0 AND b > t AND a < t + 0.5)
+""",
+    "truncated": f"""
+WITH r AS (
+  SELECT vec_id, x, CASE WHEN label % 3 = 1 THEN round(label / 4.0 * 16)::INT END AS s, CASE WHEN label % 4 = 1 THEN round((label / 4.0 + 0.5) * 16)::INT END AS e FROM {_X}
+), l AS (
+  SELECT *, list_transform(range(0, 33, 16), lambda i: round(list_sum(list_transform(x[i + 1 : i + 32], lambda v: v * v)), 9)) AS energy FROM r
+), a AS (
+  SELECT *, CASE WHEN s IS NULL AND e IS NULL THEN (list_position(energy, list_max(energy)) - 1) * 16 WHEN s IS NULL THEN greatest(e - 32, 0)
+       WHEN e IS NULL OR e - s >= 32 THEN s ELSE greatest(s - (32 - (e - s)) // 2, 0) END AS low FROM l
+)
+SELECT vec_id, {_rounded('x[low + 1 : CASE WHEN s IS NULL AND e IS NOT NULL THEN least(greatest(e, 32), 64) ELSE least(low + 32, 64) END]')} AS samples FROM a
+""",
+    "long_signals": "SELECT vec_id, least(label * 8 + 8, 64)::INTEGER AS n FROM embeddings WHERE least(label * 8 + 8, 64) >= 32",
+    "mono_float": f"SELECT vec_id, list_transform(range(1, 33), lambda i: ((x[i] + x[i + 32]) / 2)::FLOAT::DOUBLE) AS mono FROM {_X}",
+    "smoothed": f"""
+SELECT vec_id, list_transform(range(0, 64), lambda i: round(list_sum(list_transform(range(i - 2, i + 3),
+       lambda j: x[CASE WHEN j < 0 THEN -j WHEN j > 63 THEN 128 - j ELSE j + 1 END])) / 5, 6) + 0.0) AS smooth FROM {_X}
+""",
+    "weighted_percentiles": f"""
+WITH w AS (SELECT vec_id, list_transform(x, lambda v: abs(v)) AS w FROM {_X}),
+c AS (SELECT vec_id, list_transform(range(1, 65), lambda i: list_sum(w[1 : i]) / list_sum(w)) AS c FROM w),
+p AS (SELECT vec_id, c, unnest([0.05, 0.95]) AS p FROM c),
+i AS (SELECT *, len(list_filter(c, lambda v: v <= p)) AS i FROM p)
+SELECT vec_id, min(spot) AS low, max(spot) AS high FROM (
+  SELECT vec_id, round(CASE WHEN i = 0 THEN 0 ELSE (i - 1) / 4.0 + 0.25 * (p - c[i]) / (c[i + 1] - c[i]) END, 6) AS spot FROM i) GROUP BY vec_id
+""",
+    "same_species": "SELECT p_partkey, p_size % 3 = 1 OR (p_size % 3 = 2 AND lower(replace(p_type, ' ', '_')) = lower(replace(p_brand, ' ', '_'))) AS same FROM part",
+    "removed_classes": """
+WITH c AS (SELECT source, count(*) AS n FROM documents GROUP BY source)
+SELECT source, CASE WHEN n >= 60 THEN (SELECT min(n) FROM c WHERE n >= 60) ELSE n END AS n, n < 60 AS removed FROM c
+""",
+    "noise_and_test": f"""
+WITH plain AS (SELECT doc_id FROM documents ANTI JOIN labels USING (doc_id)),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY {_key("42", "doc_id")}, doc_id) AS k, count(*) OVER () AS n FROM plain)
+SELECT doc_id, CASE WHEN k <= n // 2 THEN 'noise' ELSE 'test' END AS part FROM documents LEFT JOIN r USING (doc_id)
+""",
+    "flattened_schema": """
+SELECT * FROM (VALUES
+  (0, 'raw_files_segment_id', 'array<string>'), (1, 'raw_files_audio_array', 'array<array<float>>'), (2, 'raw_files_audio_sampling_rate', 'array<bigint>'),
+  (3, 'raw_files_time_freq_bounds', 'array<array<array<float>>>'), (4, 'raw_files_birdset_code', 'array<bigint>'), (5, 'raw_files_ebird_code', 'array<string>'),
+  (6, 'raw_files_scientific_name', 'array<string>'), (7, 'raw_files_common_name', 'array<string>'),
+  (8, 'raw_files_original_birdset_subset', 'array<string>'), (9, 'raw_files_original_file', 'array<string>')) t(position, name, type)
+""",
+    "first_rows": "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 100",
+    "empty_column": "SELECT doc_id, source, 0 AS n_detections, true AS no_name FROM documents",
+    "forced_schema": "SELECT n_nationkey, n_name, NULL::VARCHAR AS n_code FROM nation",
+    "split_sink": """
+WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r, count(*) OVER () AS n FROM documents)
+SELECT doc_id, CASE WHEN r <= n - ceil(round(n * 0.1, 9)) THEN 'train' ELSE 'test' END AS split FROM r WHERE doc_id % 3 <> 0
+""",
+    "published_manifest": f"""
+WITH s AS (SELECT doc_id, lang, {_SPLIT_NAME} FROM ({_SPLIT}))
+SELECT count(*) AS num_rows, {_fingerprint("doc_id", "lang", "split")} AS fingerprint, 'doc_id,lang,source,split' AS columns, 'bigint' AS doc_id_type FROM s
+""",
+    "code_map_file": """
+SELECT 'HSN' AS subset, n_nationkey AS birdset_code, lower(n_name) AS ebird_code, replace(lower(n_name || ' bird'), ' ', '_') AS common_name,
+       replace(lower('Avis ' || n_name), ' ', '_') AS scientific_name FROM nation
+""",
+    "stream_tumbling": """
+SELECT user_id, epoch_us(ts) // 43200000000 * 43200000000 AS start_us, epoch_us(ts) // 43200000000 * 43200000000 + 43200000000 AS end_us,
+       count(*) AS n, max(value) AS most FROM events GROUP BY ALL
+""",
+    "stream_sliding": """
+WITH w AS (SELECT user_id, value, epoch_us(ts) // 21600000000 * 21600000000 - unnest([0, 21600000000]) AS start_us FROM events)
+SELECT user_id, start_us, start_us + 43200000000 AS end_us, count(*) AS n, max(value) AS most FROM w GROUP BY user_id, start_us
+""",
+    "stream_sessions": """
+WITH g AS (SELECT user_id, epoch_us(ts) AS t, coalesce(epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) >= 21600000000, true) AS new, event_id FROM events),
+k AS (SELECT *, sum(new::INT) OVER (PARTITION BY user_id ORDER BY t, event_id) AS k FROM g)
+SELECT user_id, min(t) AS start_us, max(t) + 21600000000 AS end_us, count(*) AS n FROM k GROUP BY user_id, k
+""",
+    "stream_totals": "SELECT user_id, count(value) AS n, round(sum(value), 4) AS total FROM events GROUP BY user_id",
 }

@@ -64,6 +64,21 @@ def _mask(rate: int, events: dsp.EventSettings, mask: dsp.MaskSettings):
     return run
 
 
+def windows(masked: DataFrame, rate: int, n: int, least_tail: int, threshold: float = 0.0) -> DataFrame:
+    """Of rows (..., masked, detections, name, events, bounds): the tumbling windows of ``n`` samples that meet an event and
+    hold no detection of another name, with ``c`` (segment, start, end, samples) and ``time_freq_bounds`` from the
+    window's start."""
+    cols = [c for c in masked.columns if c not in ("masked", "events", "bounds")]
+    cut = masked.select(*cols, "events", "bounds", F.explode(signal.tumbling(F.col("masked"), n, least_tail)).alias("c"))
+    start, end = F.col("c.start") / F.lit(float(rate)), F.col("c.end") / F.lit(float(rate))
+    alone = intervals.only_target(F.col("detections"), F.col("name"), start, end, threshold)
+    relative = F.transform(
+        F.filter("bounds", lambda b: intervals.overlaps(start, end, b["start"], b["end"])),
+        lambda b: F.array(F.greatest(b["start"], start) - start, F.least(b["end"], end) - start, b["f_low"], b["f_high"]).cast("array<float>"),
+    )
+    return cut.where(intervals.any_overlap(start, end, F.col("events")) & alone).select(*cols, "c", relative.alias("time_freq_bounds"))
+
+
 def segments(
     recordings: DataFrame, analysed: DataFrame, species: DataFrame, rate: int, config: Config,
     events: dsp.EventSettings = dsp.EventSettings(), mask: dsp.MaskSettings = dsp.MaskSettings(),
@@ -87,20 +102,13 @@ def segments(
         _mask(rate, events, mask),
         f"{kinds}, masked array<float>, events array<struct<start:double,end:double>>, bounds array<struct<start:double,end:double,f_low:double,f_high:double>>",
     )
-    n = int(s.segment_length_s * rate)
-    cut = masked.select(*cols, "events", "bounds", F.explode(signal.tumbling(F.col("masked"), n, int(s.min_tail_s * rate))).alias("c"))
-    start, end = F.col("c.start") / F.lit(float(rate)), F.col("c.end") / F.lit(float(rate))
-    kept = cut.where(intervals.any_overlap(start, end, F.col("events")) & intervals.only_target(F.col("detections"), F.col("name"), start, end))
-    relative = F.transform(
-        F.filter("bounds", lambda b: intervals.overlaps(start, end, b["start"], b["end"])),
-        lambda b: F.array(F.greatest(b["start"], start) - start, F.least(b["end"], end) - start, b["f_low"], b["f_high"]).cast("array<float>"),
-    )
+    kept = windows(masked, rate, int(s.segment_length_s * rate), int(s.min_tail_s * rate))
     of = recordings.select("recording_id", names.basename(F.col("filepath")).alias("original_file"))
     named = kept.join(of, "recording_id").join(F.broadcast(species), F.col("code") == F.col("birdset_code"))
     return named.select(
         F.concat_ws("-", "recording_id", "source_idx", "c.segment").alias("segment_id"),
         F.col("c.samples").cast("array<float>").alias("samples"), F.lit(rate).cast("long").alias("sampling_rate"),
-        relative.alias("time_freq_bounds"), F.col("birdset_code").cast("long").alias("birdset_code"), "ebird_code",
+        "time_freq_bounds", F.col("birdset_code").cast("long").alias("birdset_code"), "ebird_code",
         "scientific_name", "common_name", F.col("subset").alias("original_birdset_subset"), "original_file",
     )
 
