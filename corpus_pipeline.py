@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet
 and read again as the next stage's docs. All but the last return the columns of documents.
+
+Every stage takes what its operator takes: null ids, languages and texts, empty and very long texts,
+ties, repeated rows, rows that share an id, and columns of any name beside doc_id, text and lang.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,28 +35,33 @@ def _rewritten(docs: DataFrame, operator: Callable[..., DataFrame]) -> DataFrame
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go: null and empty texts among them. Repeated rows go or stay together;
+    texts of any length are measured whole."""
     verdicts = quality.quality_rules(docs, public_tokenizers.path(BPE), public_tokenizers.path(PIECES))
     return quality.keep(docs, verdicts)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many documents share stay in one of them."""
+    """Lines that many documents share stay in the largest id of them. A null text becomes an empty one; rows that share
+    an id, and repeated rows, are one document and all keep their lines."""
     return _rewritten(docs, line_dedup.line_dedup)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (Jaccard 0.8 over 5-word shingles) the least id stays."""
+    """Of each group of near duplicates (Jaccard 0.8 over 5-word shingles) the least id stays, with all its rows. Null ids
+    and texts without a word have no duplicates and stay."""
     return minhash.keep(docs, minhash.near_duplicates(docs))
 
 
 def drop_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words of passages that a smaller id holds too go."""
+    """Words of passages that a smaller id holds too go. Null ids lose nothing; rows that share an id take nothing from
+    each other."""
     return _rewritten(docs, substring.substring_dedup)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The texts' tokens as pieces of sequences of at most 1024 tokens."""
+    """The texts' tokens as pieces of sequences of at most 1024 tokens. Every row is a document of its own; an empty text
+    is the end token alone."""
     return packing.best_fit_packing(docs, public_tokenizers.path(BPE), with_ids=False)
 
 
