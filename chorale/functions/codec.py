@@ -1,4 +1,4 @@
-"""Encoding of samples. WAV needs no library; other containers can be registered by name."""
+"""Encoding of samples. WAV and FLAC need no library; other containers, such as OGG, are registered by name."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from collections.abc import Callable
 
 import numpy as np
 
+from chorale.functions import flac
+
 
 def _wav(x: np.ndarray, rate: int) -> bytes:
     out = io.BytesIO()
@@ -19,7 +21,11 @@ def _wav(x: np.ndarray, rate: int) -> bytes:
     return out.getvalue()
 
 
-ENCODERS: dict[str, Callable[[np.ndarray, int], bytes]] = {"WAV": _wav}
+def _flac(x: np.ndarray, rate: int) -> bytes:
+    return flac.encode(np.round(x * 32767).astype(np.int16), rate)
+
+
+ENCODERS: dict[str, Callable[[np.ndarray, int], bytes]] = {"WAV": _wav, "FLAC": _flac}
 
 
 def encode(samples: np.ndarray, rate: int, container: str = "WAV", normalize: bool = True) -> bytes:
@@ -39,3 +45,20 @@ def decode_wav(data: bytes) -> tuple[np.ndarray, int]:
     with wave.open(io.BytesIO(data)) as f:
         x = np.frombuffer(f.readframes(f.getnframes()), "<i2").astype(float) / 32767
         return x.reshape(-1, f.getnchannels()).mean(axis=1), f.getframerate()
+
+
+def _decode_flac(data: bytes) -> tuple[np.ndarray, int]:
+    x, rate = flac.decode(data)
+    return x.mean(axis=1), rate
+
+
+#: By the first four bytes of a file.
+DECODERS: dict[bytes, Callable[[bytes], tuple[np.ndarray, int]]] = {b"RIFF": decode_wav, b"fLaC": _decode_flac}
+
+
+def decode(data: bytes) -> tuple[np.ndarray, int]:
+    """Samples of one channel (the mean of several) and their rate. No decoder: ValueError."""
+    found = DECODERS.get(bytes(data[:4]))
+    if found is None:
+        raise ValueError(f"no decoder for a file that begins with {bytes(data[:4])!r}")
+    return found(data)

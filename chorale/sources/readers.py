@@ -56,14 +56,18 @@ def taxonomy(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("position", F.row_number().over(order))
 
 
-def wav_files(spark: SparkSession, path: str, rate: int) -> DataFrame:
-    """filepath, samples at ``rate``, sampling_rate and n_samples of the WAV files under a path."""
+def audio_files(spark: SparkSession, path: str, rate: int, pattern: str = "*.{wav,flac,WAV,FLAC}") -> DataFrame:
+    """filepath, samples at ``rate``, sampling_rate and n_samples of the files under a path whose names match."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            read = [codec.decode_wav(b) for b in part["content"]]
+            read = [codec.decode(b) for b in part["content"]]
             out = [dsp.resample(x, own, rate).astype("float32") for x, own in read]
             yield pd.DataFrame({"filepath": part["path"], "samples": out, "sampling_rate": rate, "n_samples": [len(x) for x in out]})
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.wav").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
     return files.select("path", "content").mapInPandas(run, "filepath string, samples array<float>, sampling_rate long, n_samples long")
+
+
+def wav_files(spark: SparkSession, path: str, rate: int) -> DataFrame:
+    return audio_files(spark, path, rate, "*.wav")

@@ -8,9 +8,9 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from chorale import config, schemas
+from chorale import config, schemas, session
 from chorale.config import Mix
-from chorale.operators import detections, events, lookup, mixing, noise, sampling
+from chorale.operators import detections, events, flatten, lookup, mixing, noise, sampling
 from chorale.operators.ranking import ranked
 
 
@@ -59,6 +59,37 @@ def test_balance_by_method_without_rare_classes(spark, method, n):
         sampling.balance(df, "id", "k", "file", 1, "other", None, 0)
 
 
+def test_numbers_of_a_row_are_dealt_in_runs(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "NUMBERS", 4)
+    df = spark.createDataFrame([("a", 10), ("b", 4), ("c", 0), ("d", 1), (None, 5)], "k string, n int")
+    got = sampling.numbered(df, F.col("n"), "at")
+    assert got.columns == ["k", "n", "at"]
+    assert sorted((r["k"] or "", r["at"]) for r in got.collect()) == sorted((k or "", i) for k, n in (("a", 10), ("b", 4), ("d", 1), (None, 5)) for i in range(n))
+
+
+def test_elementwise_sum_of_unequal_lengths_and_nulls(spark):
+    rows = [("a", [1.0, 2.0]), ("a", [0.5, None, 4.0]), ("a", None), ("b", []), (None, [1.0]), (None, [2.0])]
+    got = flatten.elementwise_sum(spark.createDataFrame(rows, "k string, x array<double>").repartition(4), ["k"], "x", 3).collect()
+    assert {r["k"]: r["x"] for r in got} == {"a": [1.5, 2.0, 4.0], "b": [], None: [3.0]}
+
+
+def test_rows_that_differ_have_different_fingerprints(spark):
+    one, other = (spark.createDataFrame([r], "a string, b string") for r in (("a|b", "c"), ("a", "b|c")))
+    assert flatten.fingerprint(one, "a", "b").first() != flatten.fingerprint(other, "a", "b").first()
+    assert flatten.fingerprint(one.limit(0), "a", "b").first()["fingerprint"] == 0
+
+
+def test_removed_classes_are_named(spark):
+    df = spark.createDataFrame([(i, "a" if i < 30 else "b", "f") for i in range(33)], "id long, k string, file string")
+    kept, removed = sampling.balance_and_removed(df, "id", "k", "file", 1, "undersample", None, 10)
+    assert {r["k"] for r in kept.collect()} == {"a"}
+    assert [tuple(r) for r in removed.collect()] == [("b", 3)]
+
+
+def test_worker_memory(spark):
+    assert all(r["peak_mb"] > 1 for r in session.worker_memory(spark.range(10).repartition(2)).collect())
+
+
 def test_no_label_tells_null_from_empty(spark):
     df = spark.createDataFrame([(1, None, [], None), (2, None, None, None), (3, 5, [], None), (4, None, [1], None)], "id int, c int, m array<int>, s string")
     assert [r["id"] for r in df.where(sampling.no_label(F.col("c"), F.col("m"), F.col("s"))).collect()] == [1]

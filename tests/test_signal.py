@@ -8,7 +8,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from chorale.functions import codec, dsp, intervals, names, signal
+from chorale.functions import codec, dsp, flac, intervals, names, signal
 
 RATE = 22_050
 
@@ -72,6 +72,33 @@ def test_wav_round_trip():
         codec.encode(np.zeros(0), 8000)
 
 
+@pytest.mark.parametrize("n", [1, 2, 5, 4096, 4097, 9000])
+def test_flac_round_trip(n):
+    rng = np.random.default_rng(n)
+    tone = np.sin(np.arange(n) / 9) * 20_000
+    for x in (rng.integers(-(1 << 15), 1 << 15, n), tone, np.full(n, -3), np.cumsum(rng.integers(-4, 5, n))):
+        x = x.astype(np.int16)
+        got, rate = flac.decode(flac.encode(x, 22_050))
+        assert rate == 22_050
+        assert (np.round(got[:, 0] * 32767).astype(int) == x).all()
+    assert len(flac.encode(tone.astype(np.int16), 22_050)) < 2 * n + 100
+
+
+def test_damaged_and_unknown_files_raise():
+    data = bytearray(codec.encode(np.sin(np.arange(5000) / 7), 8000, "FLAC"))
+    data[len(data) // 2] ^= 0x10
+    with pytest.raises((ValueError, IndexError)):
+        codec.decode(bytes(data))
+    with pytest.raises(ValueError):
+        codec.decode(b"OggS" + bytes(20))
+
+
+def test_frame_numbers_are_coded_like_characters():
+    for n in (0, 127, 128, 2047, 2048, 65_535, 65_536, 0x10FFFF):
+        assert flac._number(n) == chr(n).encode()
+    assert [len(flac._number(n)) for n in ((1 << 26) - 1, (1 << 31) - 1, (1 << 36) - 1)] == [5, 6, 7]
+
+
 @given(st.lists(st.floats(-1, 1, width=32), max_size=40), st.integers(1, 9))
 def test_moving_average_is_numpy_same(x, n):
     if x:

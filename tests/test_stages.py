@@ -115,6 +115,21 @@ def test_sources_and_sinks(spark, tmp_path):
     (tmp_path / "a.wav").write_bytes(codec.encode(np.sin(np.arange(800) / 5), 800))
     got = readers.wav_files(spark, str(tmp_path / "a.wav"), 400).first()
     assert got["n_samples"] == 400
+    (tmp_path / "b.flac").write_bytes(codec.encode(np.sin(np.arange(800) / 5), 800, "FLAC"))
+    found = readers.audio_files(spark, str(tmp_path), 400).collect()
+    assert sorted(r["filepath"][-4:] for r in found) == [".wav", "flac"]
+    assert np.abs(np.array(found[0]["samples"]) - np.array(found[1]["samples"])).max() < 1e-4
+
+
+def test_keyed_state_counts_over_batches(spark, tmp_path):
+    for i in range(3):
+        spark.createDataFrame([(k, float(i + k)) for k in (1, 2, 2)], "k long, value double").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = streams.read(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema, 1)
+    seen = []
+    out = streams.totals(stream, "k", "value").writeStream.outputMode("update").foreachBatch(lambda df, i: seen.append({r["k"]: (r["n"], r["total"]) for r in df.collect()}))
+    out.option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
+    assert [s[2][0] for s in seen] == [2, 4, 6]
+    assert seen[-1] == {1: (3, 6.0), 2: (6, 18.0)}
 
 
 def test_streams(spark, tmp_path):
