@@ -1,6 +1,21 @@
 """Pluggable models: separators (one signal to several) and detectors (a signal to labelled intervals).
 
-A model is made once per Python worker by its factory; factories must be importable on the executors.
+A model is made once per Python worker by its factory; factories must be importable on the executors. A trained network
+joins by a class of this form, whose file must be readable there too::
+
+    class Network:
+        rate = 22_050
+
+        def __init__(self, path):
+            self.session = onnxruntime.InferenceSession(path)
+
+        def separate(self, x):
+            (sources,) = self.session.run(None, {"mixture": x[None, None].astype("float32")})
+            return list(sources[0])
+
+    models.separate(recordings, "recording_id", "samples", 44_100, functools.partial(Network, "/shared/model.onnx"))
+
+Signals are resampled to the model's ``rate`` before it sees them. A detector gives (name, confidence, start s, end s).
 """
 
 from __future__ import annotations

@@ -137,7 +137,7 @@ def replicate(df: DataFrame, key: str, epochs: int, seed: int) -> DataFrame:
     return out.withColumn("position", F.col("rank") - 1).drop("rank", "rank_count")
 
 
-def batches(df: DataFrame, order: list[Column], rows: int) -> DataFrame:
-    """``df`` with ``batch_idx``: runs of ``rows`` rows of the order."""
-    out = ranked(df, [], order)
+def batches(df: DataFrame, order: list[Column], rows: int, groups: list[Column] | None = None) -> DataFrame:
+    """``df`` with ``batch_idx``: runs of ``rows`` rows of the order, in each group by itself."""
+    out = ranked(df, groups or [], order)
     return out.withColumn("batch_idx", F.floor((F.col("rank") - 1) / rows)).drop("rank", "rank_count")

@@ -666,8 +666,8 @@ def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = Mix()
     split = sampling.split(_documents(spark, sf_dir), "doc_id", mix.test_share, mix.validation_share)
-    batched = sampling.batches(split.where("split = 'train'").select("doc_id", "source"), [F.col("doc_id")], mix.batch_rows)
-    return mixing.assign(batched, "doc_id", "source", ["batch_idx"], "doc_id", SEED, mix)
+    batched = sampling.batches(split.select("doc_id", "source", "split"), [F.col("doc_id")], mix.batch_rows, [F.col("split")])
+    return mixing.assign(batched, "doc_id", "source", ["split", "batch_idx"], "doc_id", SEED, mix)
 
 
 @query
@@ -685,4 +685,4 @@ def mix_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     background = vectors.select(F.col("vec_id").alias("noise_id"), F.col("x").alias("noise"))
     paired = sound.withColumn("noise_id", (F.col("batch_idx") * 30 + F.col("mix_idx")) % n).join(background, "noise_id").drop("noise_id")
     bounds = F.array(F.array(F.lit(0.5), F.lit(2.5)))
-    return mixing.render(paired.withColumn("bounds", bounds), ["batch_idx"], 64, RATE, SEED, Mix().max_shift_ratio)
+    return mixing.render(paired.withColumn("bounds", bounds), ["split", "batch_idx"], 64, RATE, SEED, Mix().max_shift_ratio)
