@@ -217,7 +217,7 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
 
     - Null or empty text: no ids, decoded ''. Whole texts, of any length.
     - Repeated rows give repeated rows; null ids pass through; empty table: empty result.
-    - Other columns of ``docs`` are not carried.
+    - Other columns of ``docs`` are not carried, whatever they are called.
     """
     has(docs, id_col, text_col)
     small_batches(docs.sparkSession)

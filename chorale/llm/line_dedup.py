@@ -53,6 +53,7 @@ def line_dedup(
     - Rows that share an id count as one document; each keeps or loses its own lines,
       and in the largest id all of them keep the line.
     - Null ids: their lines are not counted, and go where others make the key frequent.
+    - Texts and lines of any length are taken whole.
     - Empty table: empty result. Other columns pass through, whatever they are called.
     """
     has(docs, id_col, text_col)

@@ -383,7 +383,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     - Ids are integers. A null id is linked with nothing; its component_id is null and it is kept.
     - Null or empty texts, and texts without words, have no shingle and are linked with nothing.
     - Rows that share an id are one document with the links of all its texts.
-    - Empty table: empty result. Other columns are not carried.
+    - Texts of any length are read whole; a text longer than a block's shingles is compared in a block of its own.
+    - Empty table: empty result. Other columns are not carried, whatever they are called.
     """
     has(docs, id_col, text_col)
     scratch = Scratch(docs.sparkSession)

@@ -168,7 +168,8 @@ def best_fit_packing(
     sequence stand next to each other from offset 0 and no sequence exceeds ``capacity``.
 
     - Null or empty text: the end token alone. Repeated rows and null ids are documents of their own.
-    - Empty table: empty result. Other columns of ``docs`` are not carried.
+    - Texts of any length are read whole. Empty table: empty result. Other columns of ``docs`` are not carried, whatever
+      they are called.
     """
     has(docs, id_col, text_col)
     scratch = Scratch(docs.sparkSession)

@@ -77,7 +77,8 @@ def shard_by_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     - Null text: no bytes, size 1, crc32 0. Null ids come first in the order.
     - Repeated rows and ties: each row is placed once; equal rows are interchangeable.
     - A row larger than a target takes a shard by itself; shards it spans stay empty.
-    - Empty table: empty result. Other columns of ``docs`` are not carried.
+    - Texts of any length are read whole, and stay where they are read.
+    - Empty table: empty result. Other columns of ``docs`` are not carried, whatever they are called.
     """
     has(docs, id_col, text_col)
     spark = docs.sparkSession

@@ -4,19 +4,23 @@ from __future__ import annotations
 
 import glob
 import os
+import zlib
 
 import corpus_pipeline
 import duckdb
 import fixtures
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import __spark_entry__
 from chorale.llm import queries as llm
 from chorale.llm import quality
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+LIBRARY = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -53,10 +57,27 @@ def test_stages(spark, corpus, tmp_path):
             want = [(i, *(x for x, g in zip(w, gone, strict=True) if not g)) for i, w, gone in fixtures.removed_words(before)]
             assert fixtures.by_str((r[0], *fixtures.words(r[1])) for r in rows) == fixtures.by_str(want)
         else:
-            assert {r[0] for r in rows} == {r[0] for r in before}
+            found = after.select("doc_id", "piece", "start", "length", "ids_crc32").collect()
+            assert fixtures.by_str(found) == fixtures.by_str(p for r in before for p in pieces(r[0], r[1]))
+            filled = after.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
+            assert all(r["n"] == r["end"] <= 1024 for r in filled)
         docs = after
 
 
+def pieces(doc_id, text):
+    """(doc_id, piece, start, length, crc) by the library."""
+    ids = LIBRARY.encode(text or "", add_special_tokens=False).ids + [2]
+    first = len(ids) % 1024 or min(len(ids), 1024)
+    starts = [0, *range(first, len(ids), 1024)]
+    for k, (i, j) in enumerate(zip(starts, [*starts[1:], len(ids)], strict=True)):
+        yield doc_id, k, i, j - i, zlib.crc32(np.array(ids[i:j], "<u4").tobytes())
+
+
+def test_run_on_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def test_stages_keep_columns_of_any_name(spark, corpus):
     docs = spark.read.parquet(f"{corpus}/documents.parquet")
     for name in ("kept_text", "n_removed", "n_lines", "row", "id", "text_row", "kept", "c0", "a.b"):
