@@ -386,4 +386,13 @@ k AS (SELECT *, sum(new::INT) OVER (PARTITION BY user_id ORDER BY t, event_id) A
 SELECT user_id, min(t) AS start_us, max(t) + 21600000000 AS end_us, count(*) AS n FROM k GROUP BY user_id, k
 """,
     "stream_totals": "SELECT user_id, count(value) AS n, round(sum(value), 4) AS total FROM events GROUP BY user_id",
+    "fake_separate": f"""
+WITH h AS (
+  SELECT source_idx, list(h ORDER BY n) AS h FROM (
+    SELECT source_idx, n, list(list_sum(list_transform(range(low, high), lambda k: CASE WHEN k IN (0, 32) THEN 1 ELSE 2 END * cos(2 * pi() * k * (n - m) / 64))) / 64 ORDER BY m) AS h
+    FROM (VALUES (0, 0, 8), (1, 8, 16), (2, 16, 24), (3, 24, 33)) b(source_idx, low, high), (SELECT unnest(range(64)) AS n), (SELECT unnest(range(64)) AS m)
+    GROUP BY source_idx, n) GROUP BY source_idx
+)
+SELECT vec_id, source_idx, list_transform(h, lambda w: round(list_inner_product(w, x)::FLOAT::DOUBLE, 5) + 0.0) AS signal FROM {_X}, h
+""",
 }
