@@ -5,14 +5,15 @@ A turn is written as ``<|turn|>role<|body|>text<|end|>``; inside roles and texts
 the escape can be undone.
 
 Every assistant turn is exploded into an example of its own: all turns before it are
-context and only its reply is trainable. The examples of one conversation are prefixes
-of each other, so the formatted conversation is stored once, as one segment a turn, and
-an example row names the number of segments that are its context: linear in the
-conversation where strings would be quadratic. ``with_strings`` writes them out.
+context and only its reply is trainable. ``format_conversations`` formats a turn once;
+``expand`` deals out the examples, each with its whole context, which is quadratic in the
+turns of a conversation. A task holds one example at a time.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,38 +79,53 @@ def format_conversations(turns: DataFrame) -> DataFrame:
 
 
 def expand(formatted: DataFrame) -> DataFrame:
-    """The examples as rows, one per assistant turn: conv_id, example (from 0), ``context`` (the number of the
-    conversation's segments before the reply's, all of them context), ``target`` (the reply's segment), and the loss mask
-    as ``loss_start`` and ``loss_end`` in code points of the target. Nothing of the context is trainable.
-
-    A row holds its own segment only: linear in a conversation of any length. A conversation without an assistant turn
-    has no row."""
-    # the outer lambda binds the segments, so that they are made once and not once an example
-    whole = F.transform(
-        F.array("segments"),
-        lambda segments: F.transform(
-            "examples",
-            lambda e: F.struct(
-                e["segment"].alias("context"), F.get(segments, e["segment"]).alias("target"),
-                e["target_start"].alias("loss_start"), e["target_end"].alias("loss_end"),
-            ),
-        ),
-    )[0]
-    return formatted.select("conv_id", whole.alias("examples")).select("conv_id", F.posexplode("examples").alias("example", "e")).select(
-        "conv_id", "example", "e.*"
+    """The examples as rows, one per assistant turn: conv_id, example (from 0), ``context`` (the number of turns before the
+    reply's, all of them context), ``before`` (these turns, formatted), ``target`` (the reply's segment), the loss mask as
+    ``loss_start`` and ``loss_end`` in code points of the target, and ``after``: the formatted turns behind the conversation's
+    last reply, which belong to no example, in the row of that reply; null in the others. Nothing of the context is trainable.
+
+    Quadratic in a conversation's turns where ``before`` is read, else linear. A conversation without an assistant turn has
+    no row; ``unanswered`` has it."""
+    at = F.col("e.segment")
+    after = F.array_join(F.slice("segments", at + 2, F.size("segments")), "")
+    return formatted.select(
+        "conv_id", "segments", F.size("examples").alias("n"), F.posexplode("examples").alias("example", "e")
+    ).select(
+        "conv_id",
+        "example",
+        at.alias("context"),
+        F.array_join(F.slice("segments", 1, at), "").alias("before"),
+        F.get("segments", at).alias("target"),
+        F.col("e.target_start").alias("loss_start"),
+        F.col("e.target_end").alias("loss_end"),
+        F.when(F.col("example") == F.col("n") - 1, after).alias("after"),
     )
 
 
 def with_strings(formatted: DataFrame) -> DataFrame:
-    """The examples as strings: conv_id, example (from 0), ``text`` (context and reply), and the loss mask as ``loss_start``
-    and ``loss_end`` in code points of that text. Quadratic in a conversation's turns."""
-    context = F.array_join(F.slice("segments", 1, F.col("e.segment")), "")
-    return formatted.select("conv_id", "segments", F.posexplode("examples").alias("example", "e")).select(
+    """The examples as strings: conv_id, example (from 0), ``text`` (context and reply), the loss mask as ``loss_start``
+    and ``loss_end`` in code points of that text, and ``after`` as ``expand`` gives it. Quadratic in a conversation's turns."""
+    shift = F.char_length("before")
+    return expand(formatted).select(
         "conv_id",
         "example",
-        F.concat(context, F.get("segments", F.col("e.segment"))).alias("text"),
-        (F.char_length(context) + F.col("e.target_start")).alias("loss_start"),
-        (F.char_length(context) + F.col("e.target_end")).alias("loss_end"),
+        F.concat("before", "target").alias("text"),
+        (shift + F.col("loss_start")).alias("loss_start"),
+        (shift + F.col("loss_end")).alias("loss_end"),
+        "after",
+    )
+
+
+def unanswered(formatted: DataFrame) -> DataFrame:
+    """The conversations without an assistant turn, which have no example, in the columns of ``with_strings``: all of their
+    turns are ``after``, and the text is empty."""
+    return formatted.where(F.size("examples") == 0).select(
+        "conv_id",
+        F.lit(None).cast("int").alias("example"),
+        F.lit("").alias("text"),
+        F.lit(0).alias("loss_start"),
+        F.lit(0).alias("loss_end"),
+        F.array_join("segments", "").alias("after"),
     )
 
 
@@ -126,6 +142,12 @@ def read_turns(segments: Column) -> Column:
     return F.transform(segments, lambda s: F.struct(_role(s).alias("role"), _text(s).alias("text")))
 
 
+def read_text(text: Column) -> Column:
+    """array<struct<role, text>> read back from formatted turns in one string."""
+    pieces = F.split(text, re.escape(TURN))
+    return read_turns(F.transform(F.slice(pieces, 2, F.size(pieces)), lambda p: F.concat(F.lit(TURN), p)))
+
+
 def read_targets(segments: Column, examples: Column) -> Column:
     """array<string>: the unescaped text under each example's loss mask."""
     return F.transform(

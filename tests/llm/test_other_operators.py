@@ -173,6 +173,29 @@ def test_chat_of_very_long_texts_and_many_turns(spark):
     assert sorted((r["context"], r["t"]) for r in got) == [(r[1], r[3]) for r in rows if r[2] == "assistant"]
 
 
+def test_chat_query_reads_every_column_from_the_examples_and_their_contexts(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string")
+    df.write.parquet(f"{tmp_path}/conversations.parquet")
+    expand = chat.expand
+    monkeypatch.setattr(chat, "expand", lambda formatted: expand(formatted).withColumn("before", F.lit("")))
+    got = {r["conv_id"]: r for r in queries.op8_chat(spark, str(tmp_path)).collect()}
+    # without its context, the last example of conversation 1 holds one turn of five; 3 has two replies; 2 has no example
+    assert {c: got[c]["n_turns"] for c in (1, 2, 3, 4, -7)} == {1: 1, 2: 1, 3: 1, 4: 1, -7: 1}
+    monkeypatch.undo()
+    got = {r["conv_id"]: r["n_turns"] for r in queries.op8_chat(spark, str(tmp_path)).collect()}
+    assert got == {1: 5, 2: 1, 3: 2, 4: 1, None: 1, 5: 1, -7: 2}
+
+
+def test_chat_examples_and_what_follows_them_are_the_whole(spark):
+    rows = [(1, 0, "user", "a <|turn|> & b"), (1, 1, "assistant", "&amp;"), (1, 2, "user", "<|end|>"), (1, 3, "assistant", ""), (1, 4, "user", "c"), (1, 5, "user", None), (2, 0, "user", "")]
+    formatted = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    held = {(r["conv_id"], r["example"]): r for r in chat.with_strings(formatted).unionByName(chat.unanswered(formatted)).withColumn("turns", chat.read_text(F.concat("text", "after"))).collect()}
+    assert set(held) == {(1, 0), (1, 1), (2, None)}
+    assert held[1, 0]["after"] is None and held[1, 0]["text"].count(chat.TURN) == 2
+    assert [tuple(t) for t in held[1, 1]["turns"]] == [(r[2], r[3] or "") for r in rows[:6]]
+    assert [tuple(t) for t in held[2, None]["turns"]] == [("user", "")]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(50, 60), (60, 50), (7, 7), (70, 90), (80, 90), (70, 80)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark), "c").collect()}
