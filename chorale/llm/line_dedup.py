@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chorale.llm.common import LOWER, SPACES, UPPER, Scratch, col, has, spare, text_id
+from chorale.llm.common import LOWER, SPACES, UPPER, Scratch, col, has, shuffle_partitions, spare, text_id
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -72,8 +72,10 @@ def line_dedup(
         .select("h1", "h2", "keeper")
     )
     # Written, so that both sides of the join below are plain shuffles that adaptive execution can
-    # split: the lines of one key may be a third of all rows.
-    frequent = Scratch(docs.sparkSession).write(counted, "frequent")
+    # split: the lines of one key may be a third of all rows. A key is one row of about 24 bytes, so
+    # few tasks write them, more of them as the shuffle grows, and not a tiny file each partition.
+    files = max(1, shuffle_partitions(docs.sparkSession) // 16)
+    frequent = Scratch(docs.sparkSession).write(counted.repartition(files), "frequent")
     drops = (
         lines.join(frequent, ["h1", "h2"])
         .where(~F.col("doc").eqNullSafe(F.col("keeper")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import math
 import time
 import zlib
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from chorale.llm import bpe, line_dedup, minhash, packing, pretokens, quality, sharding, substring, toxicity
+from chorale.llm.common import shared_dir
 
 BPE, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
@@ -177,6 +179,24 @@ def test_line_dedup(docs):
     assert any(r["n_dropped"] for r in found)
 
 
+def test_line_dedup_writes_few_files(spark):
+    rows = [(i, "\n".join(f"line {n} that many documents have and that is long enough" for n in range(300))) for i in range(6)]
+    keys = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        at = f"{shared_dir(spark).removeprefix('file://').removeprefix('file:')}/chorale-*/frequent"
+        made = set(glob.glob(at))
+        out = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+        made = set(glob.glob(at)) - made
+        assert len(made) == 1 and 1 <= len(glob.glob(f"{made.pop()}/*.parquet")) <= 4
+        assert {r["doc_id"]: r["n_dropped"] for r in out.collect()} == {i: 300 * (i < 5) for i in range(6)}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_line_dedup_runs_no_python(docs):
     _, df = docs
     plan = line_dedup.line_dedup(df)._jdf.queryExecution().executedPlan().toString()
